@@ -5,10 +5,39 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from amalgam.llm import simhash
+from amalgam.llm import bpe, langid, simhash
 from amalgam.llm.common import table
 
 
+def tokenizer() -> tuple[str, str]:
+    """Path of the rank file and the pattern that splits a text."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+
+
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = bpe.round_trip(table(spark, sf_dir, "documents"), *tokenizer())
+    return found.select(
+        F.col("id").alias("doc_id"),
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("bytes", 256).alias("decoded_sha256"),
+    )
+
+
+def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    prototypes = langid.train(docs.filter(~langid.held_out()))
+    found = langid.predict(docs, prototypes)
+    return found.select(
+        F.col("id").alias("doc_id"),
+        F.coalesce(langid.held_out("id"), F.lit(False)).alias("held_out"),
+        "lang_pred",
+        "score",
+    )
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select(
@@ -18,5 +47,5 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op6_simhash": op6_simhash}
+QUERIES = {"op4_bpe": op4_bpe, "op5_langid": op5_langid, "op6_simhash": op6_simhash}
 ORACLES: dict[str, str] = {}

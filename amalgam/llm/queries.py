@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from amalgam.llm import bpe, langid, simhash
+from amalgam.llm import bpe, langid, simhash, winnow
 from amalgam.llm.common import table
 
 
@@ -16,6 +16,11 @@ def tokenizer() -> tuple[str, str]:
     return public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
 
 
+def op1_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = winnow.compare_with_next(table(spark, sf_dir, "documents"))
+    return found.withColumnRenamed("id", "doc_id")
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = bpe.round_trip(table(spark, sf_dir, "documents"), *tokenizer())
     return found.select(
@@ -47,5 +52,5 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op4_bpe": op4_bpe, "op5_langid": op5_langid, "op6_simhash": op6_simhash}
+QUERIES = {"op1_winnowing": op1_winnowing, "op4_bpe": op4_bpe, "op5_langid": op5_langid, "op6_simhash": op6_simhash}
 ORACLES: dict[str, str] = {}

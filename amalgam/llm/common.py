@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from amalgam.session import cut, table
 
-__all__ = ["cut", "table", "slices", "map_arrow", "all_of", "components", "ceil_div"]
+__all__ = ["cut", "table", "slices", "map_arrow", "all_of", "components", "ceil_div", "small"]
 
 #: Bytes of input that one output batch of a Python stage covers at most (one row may be longer).
 BATCH_BYTES = 4 << 20
@@ -51,6 +51,11 @@ def ceil_div(a: int, b: int) -> int:
     return -(-a // b)
 
 
+def small(df: DataFrame, most_rows: int = 20_000) -> DataFrame:
+    """``df`` with a broadcast hint if it has few rows, which is counted; else as it is, for a shuffled join."""
+    return F.broadcast(df) if df.limit(most_rows + 1).count() <= most_rows else df
+
+
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """Connected components of undirected edges ``(a, b)``: rows ``(node, root)``, root the least node.
 

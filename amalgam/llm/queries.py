@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from amalgam.llm import bpe, langid, simhash, winnow
+from amalgam.llm import bpe, langid, mixing, simhash, winnow
 from amalgam.llm.common import table
 
 
@@ -21,6 +21,17 @@ def op1_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("id", "doc_id")
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mixing.rows_of(mixing.mix(table(spark, sf_dir, "documents")))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        "size",
+        "source_size",
+        "target",
+        (F.col("copies") * F.col("size")).alias("taken"),
+    )
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = bpe.round_trip(table(spark, sf_dir, "documents"), *tokenizer())
     return found.select(
@@ -52,5 +63,5 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op1_winnowing": op1_winnowing, "op4_bpe": op4_bpe, "op5_langid": op5_langid, "op6_simhash": op6_simhash}
+QUERIES = {"op1_winnowing": op1_winnowing, "op3_mixing": op3_mixing, "op4_bpe": op4_bpe, "op5_langid": op5_langid, "op6_simhash": op6_simhash}
 ORACLES: dict[str, str] = {}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from amalgam.llm import bpe, langid, mixing, simhash, winnow
+from amalgam.llm import bpe, langid, linededup, mixing, simhash, winnow
 from amalgam.llm.common import table
 
 
@@ -21,6 +21,18 @@ def op1_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("id", "doc_id")
 
 
+def op2_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = linededup.dedup_lines(table(spark, sf_dir, "documents"))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        F.size("removed").cast("long").alias("removed_chunks"),
+        F.aggregate("removed", F.lit(0), lambda n, c: n + c["n"]).cast("long").alias("removed_lines"),
+        F.array_sort(F.array_distinct(F.transform("removed", lambda c: c["first_id"]))).alias("kept_in"),
+        F.coalesce(F.length("clean"), F.lit(0)).cast("long").alias("clean_chars"),
+        F.sha2(F.coalesce("clean", F.lit("")).cast("binary"), 256).alias("clean_sha256"),
+    )
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = mixing.rows_of(mixing.mix(table(spark, sf_dir, "documents")))
     return found.select(
@@ -63,5 +75,5 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op1_winnowing": op1_winnowing, "op3_mixing": op3_mixing, "op4_bpe": op4_bpe, "op5_langid": op5_langid, "op6_simhash": op6_simhash}
+QUERIES = {"op1_winnowing": op1_winnowing, "op2_linededup": op2_linededup, "op3_mixing": op3_mixing, "op4_bpe": op4_bpe, "op5_langid": op5_langid, "op6_simhash": op6_simhash}
 ORACLES: dict[str, str] = {}

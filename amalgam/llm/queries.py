@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from amalgam.llm import bpe, langid, linededup, mixing, simhash, winnow
+from amalgam.llm import bpe, htmltext, langid, linededup, mixing, sharding, simhash, winnow
 from amalgam.llm.common import table
 
 
@@ -75,5 +75,23 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op1_winnowing": op1_winnowing, "op2_linededup": op2_linededup, "op3_mixing": op3_mixing, "op4_bpe": op4_bpe, "op5_langid": op5_langid, "op6_simhash": op6_simhash}
+def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = htmltext.extract(table(spark, sf_dir, "pages"))
+    return found.select(F.col("id").alias("page_id"), "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sharding.shards(table(spark, sf_dir, "documents"))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+QUERIES = {"op1_winnowing": op1_winnowing, "op2_linededup": op2_linededup, "op3_mixing": op3_mixing, "op4_bpe": op4_bpe, "op5_langid": op5_langid, "op6_simhash": op6_simhash, "op8_html": op8_html, "op9_sharding": op9_sharding}
 ORACLES: dict[str, str] = {}

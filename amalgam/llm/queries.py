@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from amalgam.llm import bpe, htmltext, langid, linededup, mixing, sharding, simhash, winnow
+from amalgam.llm import bpe, htmltext, langid, linededup, mixing, sharding, simhash, topk, winnow
 from amalgam.llm.common import table
 
 
@@ -93,5 +93,9 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op1_winnowing": op1_winnowing, "op2_linededup": op2_linededup, "op3_mixing": op3_mixing, "op4_bpe": op4_bpe, "op5_langid": op5_langid, "op6_simhash": op6_simhash, "op8_html": op8_html, "op9_sharding": op9_sharding}
+def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
+
+
+QUERIES = {"op1_winnowing": op1_winnowing, "op2_linededup": op2_linededup, "op3_mixing": op3_mixing, "op4_bpe": op4_bpe, "op5_langid": op5_langid, "op6_simhash": op6_simhash, "op8_html": op8_html, "op9_sharding": op9_sharding, "op10_topk": op10_topk}
 ORACLES: dict[str, str] = {}

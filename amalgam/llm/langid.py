@@ -175,22 +175,29 @@ def held_out(id_col: str = "doc_id", folds: int = 4, fold: int = 2):
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % folds == fold
 
 
-def keep_identified(docs: DataFrame, prototypes: dict[str, np.ndarray], text_col: str = "text", least: float = 0.0) -> DataFrame:
-    """The rows of ``docs`` whose text has a language with a cosine of ``least`` or more; all columns stay."""
+def keep_identified(
+    docs: DataFrame, prototypes: dict[str, np.ndarray], text_col: str = "text", least: float = 0.1, enough: int = 50
+) -> DataFrame:
+    """The rows of ``docs`` whose language is known; all columns stay.
+
+    A text without a letter is rejected, and one of ``enough`` trigrams or more
+    whose cosine with every language is below ``least`` (text in none of them);
+    shorter texts say too little to be rejected by their cosine. If nothing was
+    learned, only texts without a letter go.
+    """
     at = docs.columns.index(text_col)
-    langs = list(prototypes)
-    matrix = np.array([prototypes[x] for x in langs], np.float32).reshape(len(langs), DIMS)
+    matrix = np.array(list(prototypes.values()), np.float32).reshape(len(prototypes), DIMS)
 
-    def good(text: str | None) -> bool:
+    def known(text: str | None) -> bool:
         grams = trigrams(text) if text else ()
-        if not len(grams) or not langs:
-            return False
+        if len(grams) < enough or not len(matrix):
+            return len(grams) > 0
         vector = bundle(grams)
         return float((matrix @ vector).max()) >= least * float(np.linalg.norm(vector))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kept = [good(x) for x in batch.column(at).to_pylist()]
+            kept = [known(x) for x in batch.column(at).to_pylist()]
             yield batch.filter(pa.array(kept, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from amalgam.llm import bpe, htmltext, langid, linededup, mixing, sharding, simhash, topk, winnow
+from amalgam.llm import bpe, htmltext, langid, linededup, mixing, secretscan, sharding, simhash, topk, winnow
 from amalgam.llm.common import table
 
 
@@ -75,6 +75,19 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = secretscan.train(secretscan.made_findings(spark))
+    found = secretscan.scan(docs, model, secretscan.dictionary(docs))
+    return found.filter("probability >= 0.5").select(
+        F.col("id").alias("doc_id"),
+        "nth",
+        F.length("candidate").cast("long").alias("n_chars"),
+        F.sha2(F.col("candidate").cast("binary"), 256).alias("secret_sha256"),
+        "probability",
+    )
+
+
 def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = htmltext.extract(table(spark, sf_dir, "pages"))
     return found.select(F.col("id").alias("page_id"), "url", "text", F.length("text").cast("long").alias("n_chars"))
@@ -97,5 +110,5 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
 
 
-QUERIES = {"op1_winnowing": op1_winnowing, "op2_linededup": op2_linededup, "op3_mixing": op3_mixing, "op4_bpe": op4_bpe, "op5_langid": op5_langid, "op6_simhash": op6_simhash, "op8_html": op8_html, "op9_sharding": op9_sharding, "op10_topk": op10_topk}
+QUERIES = {"op1_winnowing": op1_winnowing, "op2_linededup": op2_linededup, "op3_mixing": op3_mixing, "op4_bpe": op4_bpe, "op5_langid": op5_langid, "op6_simhash": op6_simhash, "op7_secrets": op7_secrets, "op8_html": op8_html, "op9_sharding": op9_sharding, "op10_topk": op10_topk}
 ORACLES: dict[str, str] = {}

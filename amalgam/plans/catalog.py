@@ -1,4 +1,6 @@
-"""Registered queries and their DuckDB oracles."""
+"""All registered queries and their DuckDB oracles."""
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from amalgam.plans import domain, relational  # noqa: F401  registration
+from amalgam.plans.registry import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]

@@ -32,7 +32,7 @@ WINDOW = 3
 SURGE = 86
 
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^>"'])*)>""", re.S)
-_ATTR = re.compile(r"""(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+_ATTR = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 _WORD = re.compile(r"[a-z0-9]+")
 
 # Element names and the words of classes, ids and roles.
@@ -40,6 +40,7 @@ _RAW = set("script style noscript template textarea title iframe svg math select
 _INLINE = set(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr input".split()
 )
+_VOID = set("img input wbr".split())
 _BOILER = set("nav footer aside form menu dialog".split())
 _NESTS = set("nav footer aside form menu dialog header article main section div ul ol dl table tr td th tbody thead figure fieldset body html details center".split())
 _MAIN = set("article main".split())
@@ -89,6 +90,8 @@ def lines_of(page: str) -> list[tuple[str, bool, bool, int]]:
     at, in_link, seen_main = 0, False, False
     end = len(page)
     boiler = main = False
+    line_boiler = False  # of the paragraph or heading that is open
+    skipped, depth = "", 0  # an inline advert or notice, and how often its name is open inside it
 
     def leave() -> None:
         nonlocal boiler, main
@@ -97,7 +100,7 @@ def lines_of(page: str) -> list[tuple[str, bool, bool, int]]:
     while at < end:
         found = _TOKEN.search(page, at)
         start = found.start() if found else end
-        if start > at:
+        if start > at and not skipped:
             text = html.unescape(page[at:start])
             out.parts.append(text)
             if in_link:
@@ -118,14 +121,23 @@ def lines_of(page: str) -> list[tuple[str, bool, bool, int]]:
                     continue
             at = over.end() if over else end
             if name not in ("button", "svg", "math", "select"):
-                out.flush(main, boiler)
+                out.flush(main, boiler or line_boiler)
             continue
         if name == "a":
             in_link = not closes
         if name in _INLINE:
+            if name == skipped:
+                depth += -1 if closes else 1
+                skipped = skipped if depth else ""
+            elif not closes and not skipped and name not in _VOID and attributes.strip() and _is_boiler(name, attributes, main)[0]:
+                skipped, depth = name, 1
             continue
-        out.flush(main, boiler)
+        out.flush(main, boiler or line_boiler)
+        skipped, depth = "", 0
+        if name not in ("br", "hr"):
+            line_boiler = False
         if name not in _NESTS:
+            line_boiler |= not closes and bool(attributes.strip()) and _is_boiler(name, attributes, main)[0]
             continue
         if closes:
             for i in range(len(stack) - 1, -1, -1):
@@ -141,7 +153,7 @@ def lines_of(page: str) -> list[tuple[str, bool, bool, int]]:
                 seen_main = True
             stack.append((name, own, comments, is_main))
             leave()
-    out.flush(main, boiler)
+    out.flush(main, boiler or line_boiler)
     return out.rows
 
 

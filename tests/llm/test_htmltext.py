@@ -21,6 +21,8 @@ from amalgam.llm import htmltext, queries
         ("<article><p>" + "</p><p></p><p>".join("abcdefghij") + "</p></article>", "a b c d e f g h i j"),
         ("<article><p>unclosed <b>bold<p>next &lt;tag&gt; 1 < 2", "unclosed bold next <tag> 1 < 2"),
         ('<article><p title="a>b">x</p></article>', "x"),
+        ("<article><p class='ad'>buy<p>one <span class='promo'>no <span>way</span></span>two<h2 class=notice>cookies</h2><div data-url='?id=menu'>kept</div></article>", "one two kept"),
+        ("<article><section class='related-links'><p>more</p></section><p>a<br>b</p><ul><li>c<li>d</ul></article><section id=comments><p>hi</p></section>", "a b c d"),
     ],
 )
 def test_cases(page, want):

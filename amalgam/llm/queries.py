@@ -111,4 +111,12 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op1_winnowing": op1_winnowing, "op2_linededup": op2_linededup, "op3_mixing": op3_mixing, "op4_bpe": op4_bpe, "op5_langid": op5_langid, "op6_simhash": op6_simhash, "op7_secrets": op7_secrets, "op8_html": op8_html, "op9_sharding": op9_sharding, "op10_topk": op10_topk}
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "op10_topk": """
+    with v as (
+        select vec_id id, list_transform(embedding, lambda x: floor(256 * x::double)) q from embeddings
+        where vec_id is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+    ), s as (select a.id query_id, b.id vec_id, list_dot_product(a.q, b.q)::bigint score from v a join v b on a.id <> b.id where a.id % 50 = 0)
+    select query_id, rank::int rank, vec_id, score from (select *, row_number() over (partition by query_id order by score desc, vec_id) rank from s) where rank <= 5
+    """,
+}

@@ -1,11 +1,17 @@
 """Byte-balanced shards of indivisible groups by Karmarkar-Karp differencing.
 
-A group of equal texts goes to one shard whole. Groups are dealt to blocks by
-hash; in each block the partial partitions (at first one for each group) with
-the largest spread are combined again and again, their parts in opposite
-order, until one is left. The blocks' partitions are then partial partitions
-in turn and combined the same way, ``FAN`` at a time, so that no task holds
-more than a block of groups and the last combination sees a few rows.
+A group of equal texts goes to one shard whole. Differencing combines the
+partial partitions with the largest spread again and again, their parts in
+opposite order, until one is left. It runs in three steps, none of which holds
+more than a block of groups:
+
+1. The groups above a ``BIG``-th of a shard's share, fewer than ``BIG`` times
+   the number of shards, are placed first.
+2. All other groups are dealt to blocks by hash, and each block is combined
+   with the large groups' partition, scaled to the block's size: what a large
+   group takes of a shard is left free by every block alike.
+3. One block is held back and combined with the sum of all the others, which
+   evens out what they missed by.
 
 A group larger than ``split_over`` times a shard's share could not be balanced
 by any placement and is split by document into parts of about a share.
@@ -26,7 +32,7 @@ from pyspark.sql import functions as F
 
 from amalgam.llm.common import cut, small
 
-BLOCK, FAN = 4096, 1024
+BLOCK, BIG = 4096, 64
 #: Bytes that a document takes besides its text.
 OVERHEAD = 8
 #: Rows of a part of a shard that are numbered together.
@@ -68,46 +74,41 @@ def differencing(items: list[list[int]], ways: int) -> list[list[int]]:
     return out
 
 
-def balance(groups: DataFrame, ways: int, block: int = BLOCK, fan: int = FAN) -> DataFrame:
+def balance(groups: DataFrame, ways: int, block: int = BLOCK) -> DataFrame:
     """(key, shard) for rows (key, bytes), key a distinct binary or string."""
-    key_type = groups.schema["key"].dataType.simpleString()
-    blocks = max(1, -(-groups.count() // block))
-    dealt = groups.withColumn("block", F.pmod(F.xxhash64("key"), F.lit(blocks)))
-
-    def place(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("bytes", "descending"), ("key", "ascending")])
-        found = differencing([[n] + [0] * (ways - 1) for n in table.column("bytes").to_pylist()], ways)
-        return table.append_column("part", pa.array([x[0] for x in found], pa.int32()))
-
-    placed = cut(dealt.groupBy("block").applyInArrow(place, f"key {key_type}, bytes long, block long, part int"))
-    sums = placed.groupBy("block", "part").agg(F.sum("bytes").alias("bytes"))
-    route = None
-    while True:
-        above = F.floor(F.col("block") / fan).cast("long")
-
-        def combine(table: pa.Table) -> pa.Table:
-            rows = table.to_pylist()
-            ids = sorted({r["block"] for r in rows})
-            items = {i: [0] * ways for i in ids}
-            for r in rows:
-                items[r["block"]][r["part"]] = r["bytes"]
-            found = differencing([items[i] for i in ids], ways)
-            out = [(i, part, rows[0]["above"], to) for i, parts in zip(ids, found, strict=True) for part, to in enumerate(parts)]
-            names = ["block", "part", "above", "to"]
-            return pa.table([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.int32(), pa.int64(), pa.int32()), strict=True)], names=names)
-
-        level = cut(sums.withColumn("above", above).groupBy("above").applyInArrow(combine, "block long, part int, above long, to int"))
-        steps = level.select(F.col("block").alias("b"), F.col("part").alias("p"), "above", "to")
-        if route is None:
-            route = level.select("block", "part", F.col("above").alias("at"), F.col("to").alias("shard"))
-        else:
-            met = route.join(steps, (F.col("at") == F.col("b")) & (F.col("shard") == F.col("p")))
-            route = met.select("block", "part", F.col("above").alias("at"), F.col("to").alias("shard"))
-        blocks = -(-blocks // fan)
-        if blocks == 1:
-            break
-        sums = sums.join(level, ["block", "part"]).groupBy(F.col("above").alias("block"), F.col("to").alias("part")).agg(F.sum("bytes").alias("bytes"))
-    return placed.join(small(route.select("block", "part", "shard")), ["block", "part"]).select("key", "shard")
+    kind = groups.schema["key"].dataType.simpleString()
+    groups = groups.select("key", F.col("bytes").cast("long").alias("bytes"))
+    total, n = groups.agg(F.coalesce(F.sum("bytes"), F.lit(0)), F.count(F.lit(1))).first()
+    large = F.col("bytes") * (ways * BIG) > total
+    big = sorted(((r.key, r.bytes) for r in groups.filter(large).collect()), key=lambda r: (-r[1], bytes(r[0]) if kind == "binary" else r[0]))  # under BIG * ways rows
+    placed = [parts[0] for parts in differencing([[size] + [0] * (ways - 1) for _, size in big], ways)]
+    base = [0] * ways
+    for (_, size), shard in zip(big, placed, strict=True):
+        base[shard] += size
+    rest = max(1, total - sum(base))
+    blocks = max(1, -(-n // block))
+    dealt = cut(groups.filter(~large).withColumn("block", F.pmod(F.xxhash64("key"), F.lit(blocks))))
+
+    def combine(filled: list[int], scaled: bool):
+        def place(table: pa.Table) -> pa.Table:
+            table = table.sort_by([("bytes", "descending"), ("key", "ascending")])
+            sizes = table.column("bytes").to_pylist()
+            turn = table.column("block")[0].as_py() % ways  # so that blocks don't favour the same shards
+            share = sum(sizes) / rest if scaled else 1
+            so_far = [int(filled[(j + turn) % ways] * share) for j in range(ways)]
+            found = differencing([so_far, *([size] + [0] * (ways - 1) for size in sizes)], ways)
+            shard_of = {slot: (j + turn) % ways for j, slot in enumerate(found[0])}
+            return table.select(["key", "bytes"]).append_column("shard", pa.array([shard_of[x[0]] for x in found[1:]], pa.int32()))
+
+        return place
+
+    result = f"key {kind}, bytes long, shard int"
+    most = cut(dealt.filter("block != 0").groupBy("block").applyInArrow(combine(base, True), result))
+    for row in most.groupBy("shard").agg(F.sum("bytes").alias("bytes")).collect():  # a row for each shard
+        base[row.shard] += row.bytes
+    last = dealt.filter("block = 0").groupBy("block").applyInArrow(combine(base, False), result)
+    first = groups.sparkSession.createDataFrame([(k, s) for (k, _), s in zip(big, placed, strict=True)], f"key {kind}, shard int")
+    return most.select("key", "shard").unionAll(last.select("key", "shard")).unionAll(first)
 
 
 def shards(docs: DataFrame, ways: int = 24, id_col: str = "doc_id", text_col: str = "text", split_over: float = 1.25) -> DataFrame:

@@ -67,13 +67,27 @@ def test_levels_and_oversized_group(spark, tmp_path, monkeypatch):
         sizes[r.shard] += r["size"]
     assert max(sizes) - min(sizes) < 0.05 * sum(sizes) / 24
     groups = spark.createDataFrame([(str(i), rng.randrange(1, 5000)) for i in range(900)], "key string, bytes long")
-    placed = {r.key: r.shard for r in sharding.balance(groups, 6, block=20, fan=3).collect()}
+    placed = {r.key: r.shard for r in sharding.balance(groups, 6, block=20).collect()}
     sums = [0] * 6
     for r in groups.collect():
         sums[placed[r.key]] += r.bytes
     assert len(placed) == 900 and max(sums) - min(sums) < 0.005 * sum(sums) / 6, sums
 
 
+def test_group_near_a_share_is_left_alone_in_its_shard(spark):
+    rng = random.Random(8)
+    rows = [(f"g{i}", rng.randrange(100, 3000)) for i in range(9000)]
+    share = sum(n for _, n in rows) / 23
+    rows.append(("big", int(share * 1.02)))
+    placed = {r.key: r.shard for r in sharding.balance(spark.createDataFrame(rows, "key string, bytes long"), 24, block=500).collect()}
+    sums = [0] * 24
+    for k, n in rows:
+        sums[placed[k]] += n
+    assert len(placed) == len(rows)
+    rest = sorted(sums)[:-1]
+    assert max(sums) == int(share * 1.02) and rest[-1] - rest[0] < 0.002 * share
+
+
 def test_empty(spark):
     assert sharding.shards(spark.createDataFrame([], "doc_id long, text string")).count() == 0
     one = spark.createDataFrame([(1, None, "a")], "doc_id long, text string, shard string")

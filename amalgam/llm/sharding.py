@@ -119,7 +119,7 @@ def shards(docs: DataFrame, ways: int = 24, id_col: str = "doc_id", text_col: st
             F.col(id_col).cast("long").alias("id"),
             (F.octet_length(raw) + OVERHEAD).cast("long").alias("size"),
             F.crc32(raw).alias("text_crc32"),
-            F.when(F.col(text_col).isNotNull(), F.unhex(F.sha2(raw, 256))).otherwise(F.lit(b"")).alias("digest"),
+            F.when(F.col(text_col).isNotNull(), F.unhex(F.sha2(raw, 256))).otherwise(F.lit(bytes(32))).alias("digest"),
         )
     )
     groups = cut(base.groupBy("digest").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("rows")))

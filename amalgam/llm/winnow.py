@@ -176,7 +176,7 @@ def compare_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
             out.add(id_, text, out.prints(text), following, out.prints(following))
         return dict(zip(names, zip(*out.take(), strict=True), strict=True)) if part.num_rows else None
 
-    ordered = rows.repartitionByRange(tasks, "id", "text").sortWithinPartitions("id", "text")
+    ordered = rows.repartitionByRange(tasks, "id").sortWithinPartitions("id", "text")
     done = cut(ordered.mapInArrow(walk, f"{_RESULT}, first_text string, last_text string").withColumn("task", F.spark_partition_id()))
     by_task = Window.orderBy("task")  # one row a task
     whole = by_task.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)

@@ -32,7 +32,7 @@ from amalgam.llm.common import cut, small
 #: No document is taken more often.
 MOST = 3
 #: Documents of a block of the rounding, on average.
-BLOCK = 20_000
+BLOCK = 2_000
 #: Sources up to which their tilts are broadcast; with more they are joined by a shuffle.
 FEW = 20_000
 WORDS = r"[^\x20\x09-\x0D]+"

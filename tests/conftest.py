@@ -12,7 +12,7 @@ os.environ["PYTHONPATH"] = ROOT + os.pathsep + os.environ.get("PYTHONPATH", "")
 def spark():
     from amalgam.session import build_session
 
-    session = build_session("tests", "local[4]", spark__sql__shuffle__partitions="4", spark__driver__memory="4g")
+    session = build_session("tests", "local[4]", spark__sql__shuffle__partitions="3", spark__driver__memory="4g", spark__ui__showConsoleProgress="false")
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

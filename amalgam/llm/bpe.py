@@ -32,9 +32,9 @@ from pyspark.sql import functions as F
 
 from amalgam.llm.common import map_arrow
 
-LEAF = 24
-#: Matches whose tokens a Python worker remembers, and the longest match (in characters) it remembers.
-MEMO, MEMO_CHARS = 200_000, 64
+LEAF = 6
+#: Matches, leaves and pairs that a Python worker remembers each, and the longest match (in characters) it remembers.
+MEMO, MEMO_CHARS = 300_000, 64
 _NONE = 1 << 62
 
 
@@ -44,7 +44,8 @@ class Vocabulary:
         self.tokens = {v: k for k, v in ranks.items()}
         self.split = regex.compile(pattern).findall
         self.memo = _Memo(self)
-        self._pairs: dict[tuple[int, int], bool] = {}
+        self._leaves: dict[bytes, list[int]] = {}
+        self._windows: dict[tuple[int, int], list[int]] = {}
 
     def merge(self, data: bytes) -> list[int]:
         """The encoding of ``data`` by direct merging: least rank first, leftmost of equals."""
@@ -87,34 +88,46 @@ class Vocabulary:
             i = after[i]
         return out
 
+    def window(self, a: int, b: int) -> list[int]:
+        """The encoding of the bytes of two tokens; it is ``[a, b]`` exactly if the pair is stable."""
+        found = self._windows.get((a, b))
+        if found is None:
+            if len(self._windows) > MEMO:
+                self._windows.clear()
+            found = self._windows[a, b] = self.merge(self.tokens[a] + self.tokens[b])
+        return found
+
     def stable(self, a: int, b: int) -> bool:
-        """Whether the bytes of token ``a`` then ``b`` encode to just these tokens."""
-        known = self._pairs.get((a, b))
-        if known is None:
-            if len(self._pairs) > MEMO:
-                self._pairs.clear()
-            known = self._pairs[a, b] = self.merge(self.tokens[a] + self.tokens[b]) == [a, b]
-        return known
+        return self.window(a, b) == [a, b]
 
     def join(self, left: list[int], right: list[int]) -> list[int]:
         """The encoding of the concatenated bytes of two encodings."""
         if not left or not right:
             return left or right
         i = j = 1
+        window = self.window(left[-1], right[0])
         while True:
-            i, j = min(i, len(left)), min(j, len(right))
-            window = self.merge(b"".join(map(self.tokens.__getitem__, left[len(left) - i :] + right[:j])))
-            ok_left = i == len(left) or self.stable(left[len(left) - i - 1], window[0])
+            ok_left = i == len(left) or self.stable(left[-i - 1], window[0])
             ok_right = j == len(right) or self.stable(window[-1], right[j])
             if ok_left and ok_right:
                 return left[: len(left) - i] + window + right[j:]
-            i, j = i * (1 if ok_left else 2), j * (1 if ok_right else 2)
+            i, j = min(i if ok_left else 2 * i, len(left)), min(j if ok_right else 2 * j, len(right))
+            window = self.merge(b"".join(map(self.tokens.__getitem__, left[len(left) - i :] + right[:j])))
+
+    def leaf(self, data: bytes) -> list[int]:
+        found = self._leaves.get(data)
+        if found is None:
+            if len(self._leaves) > MEMO:
+                self._leaves.clear()
+            found = self._leaves[data] = self.merge(data)
+        return found
 
     def piece(self, data: bytes) -> list[int]:
         """The encoding of one match of the pattern."""
-        if len(data) <= LEAF:
-            return self.merge(data)
-        parts = [self.merge(data[i : i + LEAF]) for i in range(0, len(data), LEAF)]
+        whole = self.ranks.get(data)
+        if whole is not None:
+            return [whole]
+        parts = [self.leaf(data[i : i + LEAF]) for i in range(0, len(data), LEAF)]
         while len(parts) > 1:
             parts = [self.join(*parts[i : i + 2]) if i + 1 < len(parts) else parts[i] for i in range(0, len(parts), 2)]
         return parts[0]

@@ -26,22 +26,39 @@ def distance(a: str, b: str, limit: int) -> int:
     return min(row[-1], limit)
 
 
+def _segments(length: int, parts: int) -> list[tuple[int, int]]:
+    """Start and end of ``parts`` nearly equal segments of a text of ``length`` characters."""
+    return [(length * k // parts, length * (k + 1) // parts) for k in range(parts)]
+
+
 def cluster_names(names: list[str], within: int = 3) -> list[str]:
     """Replace each name by the usual spelling of its cluster.
 
     The first name left seeds a cluster of all names left at a distance below
     ``within`` from it; the usual spelling is the cluster's most frequent one in
-    the list, of equals the one seen first.
+    the list, of equals the one seen first. Of a name's ``within`` segments one
+    survives fewer than ``within`` edits and moves by fewer characters, so only
+    names that share a segment with the seed are compared with it.
     """
     counts: dict[str, int] = {}
     for n in names:
         counts[n] = counts.get(n, 0) + 1
-    left, usual = list(counts), {}
-    while left:
-        near = [n for n in left if n == left[0] or distance(left[0], n, within) < within]
-        best = max(near, key=lambda n: counts[n])
-        usual |= dict.fromkeys(near, best)
-        left = [n for n in left if n not in usual]
+    parts, slack = max(within, 1), max(within - 1, 0)
+    place, index = {n: i for i, n in enumerate(counts)}, {}
+    for n in counts:
+        for k, (i, j) in enumerate(_segments(len(n), parts)):
+            index.setdefault((len(n), k, n[i:j]), []).append(n)
+    usual: dict[str, str] = {}
+    for seed in counts:
+        if seed in usual:
+            continue
+        met = {seed}
+        for length in range(max(len(seed) - slack, 0), len(seed) + slack + 1):
+            for k, (i, j) in enumerate(_segments(length, parts)):
+                for at in range(max(i - slack, 0), min(i + slack, len(seed) - (j - i)) + 1):
+                    met.update(index.get((length, k, seed[at : at + j - i]), ()))
+        near = [n for n in sorted(met - usual.keys(), key=place.__getitem__) if n == seed or distance(seed, n, within) < within]
+        usual |= dict.fromkeys(near, max(near, key=lambda n: counts[n]))
     return [usual[n] for n in names]
 
 

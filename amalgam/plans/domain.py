@@ -537,8 +537,8 @@ def lev_pairs(t: Tables):
 @query()
 def lev_cluster(t: Tables):
     """Clustered spellings of the words of each conversation; order-dependent, tested against a plain loop."""
-    words = t.conversations.select("conv_id", "turn", F.posexplode(F.split(F.substring_index("text", "\n", 1), " ")).alias("i", "name"))
-    names = words.select(F.col("conv_id").alias("k"), F.when(F.col("turn") % 2 == 0, "en").otherwise("de").alias("lang"), "name", (F.col("turn") * 100_000 + F.col("i")).alias("o"))
+    words = t.conversations.select("conv_id", "turn", F.posexplode(F.split("text", r"\s+")).alias("i", "name"))
+    names = words.select(F.col("conv_id").alias("k"), F.when(F.col("turn") % 2 == 0, "en").otherwise("de").alias("lang"), "name", F.struct("turn", "i").alias("o"))
     out = vernacular.reduce_names(names, "k", "o")
     return out.select("k", F.to_json("vernacular").alias("vernacular"), "common_name")
 

@@ -1,7 +1,11 @@
+import json
+import random
+
 import numpy as np
 from pyspark.sql import functions as F
 
 from amalgam.operators import acceptance, areas, checks, cluster, dedupe, diff, joins, sampling, tiles, tree, vernacular, vote
+from amalgam.plans import catalog
 
 
 def rows(df, *order):
@@ -92,6 +96,29 @@ def test_vernacular(spark):
     assert rows(vernacular.unpack(tagged, "k", "v")) == [("k", "de", "c"), ("k", "en", "a:b")]
 
 
+def test_clusters_equal_a_plain_loop():
+    def plain(names, within):
+        counts = {n: names.count(n) for n in names}
+        left, usual = list(counts), {}
+        while left:
+            near = [n for n in left if n == left[0] or vernacular.distance(left[0], n, within) < within]
+            usual |= dict.fromkeys(near, max(near, key=counts.__getitem__))
+            left = [n for n in left if n not in usual]
+        return [usual[n] for n in names]
+
+    rng = random.Random(3)
+    for within in [0, 1, 2, 3, 4] * 60:
+        names = ["".join(rng.choice("abc") for _ in range(rng.randint(0, 9))) for _ in range(rng.randint(0, 40))]
+        assert vernacular.cluster_names(names, within) == plain(names, within)
+
+
+def test_lev_cluster_takes_every_line_and_any_white_space(spark, tmp_path):
+    rows = [(1, 0, "harbour\nlantern\tmeadow"), (1, 1, "Fenster  Garten\n\nBirnbaum"), (2, 0, None)]
+    spark.createDataFrame(rows, "conv_id long, turn int, text string").write.parquet(str(tmp_path / "conversations.parquet"))
+    got = {r.k: (json.loads(r.vernacular), r.common_name) for r in catalog.QUERIES["lev_cluster"](spark, str(tmp_path)).collect()}
+    assert got == {1: ({"en": ["harbour", "lantern", "meadow"], "de": ["fenster", "garten", "birnbaum"]}, "harbour")}
+
+
 def test_tiles_guard_and_coarsening(spark):
     seed = spark.createDataFrame([(1, 10, 0.0, 0.0, 60), (2, 10, 1.0, 1.0, 5), (3, 10, 2.0, 2.0, 7)], "k long, tile_id long, center_lng double, center_lat double, count long")
     edges = spark.createDataFrame([(1, 9), (2, 9), (3, 9), (9, 8)], "k long, parent long")

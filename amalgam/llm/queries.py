@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from amalgam.llm import bpe, htmltext, langid, linededup, mixing, secretscan, sharding, simhash, topk, winnow
-from amalgam.llm.common import table
+from amalgam.llm.common import cut, table
 
 
 def tokenizer() -> tuple[str, str]:
@@ -77,8 +77,9 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    model = secretscan.train(secretscan.made_findings(spark))
-    found = secretscan.scan(docs, model, secretscan.dictionary(docs))
+    words = cut(secretscan.dictionary(docs))
+    model = secretscan.train(secretscan.training(spark, words))
+    found = secretscan.scan(docs, model, words)
     return found.filter("probability >= 0.5").select(
         F.col("id").alias("doc_id"),
         "nth",

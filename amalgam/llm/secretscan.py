@@ -40,6 +40,7 @@ LOOKALIKES = (
     "commit sha sha1 sha256 md5 hash checksum digest revision rev uuid guid id isbn issn doi phone tel fax card visa iban account invoice order ticket build version "
     "example sample dummy placeholder test fake changeme your".split()
 )
+WORDS = "house wird para with report that dans river harbour garden nicht window number table carta noche value maison".split()
 PATHS = "test tests example examples sample samples doc docs fixture fixtures mock mocks".split()
 
 
@@ -154,6 +155,39 @@ def made_findings(spark: SparkSession, each: int = 250) -> DataFrame:
     return reduce(DataFrame.unionAll, parts).coalesce(1)
 
 
+def worded_findings(spark: SparkSession, each: int = 250) -> DataFrame:
+    """Labelled findings (before, candidate, after, label, path) that hold words of ``WORDS`` or stand in files of tests and examples."""
+    rows = spark.range(0, each, 1, 1)
+    digest = lambda salt: F.concat(F.sha2(F.concat(F.lit(salt), F.col("id").cast("string")), 256), F.sha1(F.concat(F.lit(salt), F.col("id").cast("string"))))
+    base = lambda salt, n: F.left(F.regexp_replace(F.base64(F.unhex(digest(salt))), "[+/=]", "A"), F.lit(n))
+    digits = lambda salt, n: F.left(F.translate(digest(salt), "abcdef", "012345"), F.lit(n))
+    one_of = lambda salt, *words: F.get(F.array(*map(F.lit, words)), F.pmod(F.xxhash64(F.lit(salt), "id"), F.lit(len(words))))
+    word = lambda salt: one_of(salt, *WORDS)
+    prose = F.concat(word("wp"), F.lit(" "), word("wq"), F.lit(" "))
+    tail = F.concat(F.lit(" "), word("wr"), F.lit(" "), word("ws"))
+    code, tests = one_of("wf", "src/main.py", "app/settings.py", "deploy/config.yml"), one_of("wt", "tests/test_login.py", "docs/samples/readme.md", "examples/demo.py", "spec/fixtures/keys.txt")
+    nowhere = F.lit(None).cast("string")
+    assigned = one_of("wa", "password=", "api_key = '", 'token = "', "secret: ", "")
+    shape = F.when(F.col("id") % 2 == 0, F.concat(F.lit("AKIA"), F.upper(base("wk", 16)))).otherwise(F.left(digest("wk"), F.lit(40)))
+    kinds = [
+        (0, F.concat(prose, assigned), F.concat(word("a1"), F.lit("_"), word("a2"), F.lit("_"), digits("a3", 4)), tail, nowhere),
+        (0, F.concat(prose, assigned), F.concat_ws("-", word("b1"), word("b2"), word("b3"), digits("b4", 2)), tail, code),
+        (1, F.concat(prose, assigned), F.concat_ws("_", base("c1", 9), base("c2", 8), digits("c3", 4)), tail, nowhere),
+        (1, F.concat(prose, assigned), F.concat_ws("-", base("d1", 7), base("d2", 7), base("d3", 7), digits("d4", 2)), tail, code),
+        (0, F.concat(prose, assigned), shape, tail, tests),
+        (1, F.concat(prose, assigned), shape, tail, code),
+    ]
+    parts = [rows.select(before.alias("before"), key.alias("candidate"), after.alias("after"), F.lit(float(label)).alias("label"), path.alias("path")) for label, before, key, after, path in kinds]
+    return reduce(DataFrame.unionAll, parts).coalesce(1)
+
+
+def training(spark: SparkSession, words: DataFrame, each: int = 250) -> DataFrame:
+    """The made and the worded findings with the coverage by ``words`` and by ``WORDS``, which any dictionary is taken to hold."""
+    found = made_findings(spark, each).withColumn("path", F.lit(None).cast("string")).unionByName(worded_findings(spark, each))
+    known = words.unionAll(spark.createDataFrame([(w,) for w in WORDS], "word string"))
+    return found.join(covered(found, known), "candidate", "left")
+
+
 def train(findings: DataFrame, trees: int = 40, depth: int = 8, most_findings: int = 20_000, seed: int = 7) -> PipelineModel:
     """A forest from labelled findings, the first ``most_findings`` of them by content."""
     bounded = findings.orderBy(F.xxhash64("before", "candidate", "after"), "candidate").limit(most_findings)

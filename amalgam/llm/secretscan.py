@@ -1,6 +1,8 @@
 """Secret scanning with a random forest, with DataFrame functions only.
 
-Candidates are runs of key-like characters that hold a digit. Each is described
+Candidates are what follows a secret word and = or :, whatever its characters,
+runs with a known key's beginning, and all other runs of 12 key-like characters
+or more that hold a digit; the forest rejects the false ones. Each is described
 by its length, its characters and the transitions between their classes, how
 much of it words of the corpus cover, whether it stands in a path, address or
 assignment, and the words beside it; a random forest trained on labelled
@@ -30,7 +32,16 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-CANDIDATE = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]{0,200}[0-9])[A-Za-z0-9+/_-]{12,}={0,2}"
+#: A name that holds a secret word, up to its = or : and an opening quote; behind it any run without spaces and quotes is a candidate.
+KEYED = (
+    r"(?<=[=:][\s\"'`]{0,3})(?<![\w$!@#%&*+./~^-])(?<=(?i:passw(?:or)?d|passphrase|pwd|pass|secret|token|api[ _-]?key|(?:access|private|client|session|aws|auth|secret)[ _-]?key|auth|authorization|credentials?)"
+    r"[\w-]{0,20}[\"'`]?[ \t]{0,2}[=:]{1,2}[ \t]{0,2}[\"'`]?)"
+)
+VALUE = r"(?=[^=:])(?:(?!&\w+=|[.,;:)\]}>]+(?:[\s\"'`]|$))[^\s\"'`])+"
+RUN = "(?<![A-Za-z0-9+/_-])"
+#: Known beginnings of keys; these need neither digit nor length.
+PREFIXED = RUN + "(?:A(?:KI|SI)A|gh[opsur]_|github_pat_|glpat-|[sr]k_live_|xox[abprs]-|AIza)[A-Za-z0-9+/_-]+={0,2}"
+CANDIDATE = f"{KEYED}{VALUE}|{PREFIXED}|{RUN}(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{{12,}}={{0,2}}"
 #: Characters of context that are looked at on either side.
 CONTEXT = 48
 
@@ -94,6 +105,7 @@ def features(found: DataFrame) -> DataFrame:
         "f_upper": _share(c, "[A-Z]"),
         "f_lower": _share(c, "[a-z]"),
         "f_signs": _share(c, "[+/_=-]"),
+        "f_others": _share(c, "[^A-Za-z0-9+/_=-]"),
         "f_hex": _share(c, "[0-9a-f]"),
         "f_changes": F.regexp_count(c, F.lit(change)) / F.length(c),
         "f_letter_digit": _share(c, "[A-Za-z](?=[0-9])"),
@@ -115,7 +127,7 @@ def features(found: DataFrame) -> DataFrame:
 
 
 FEATURES = (
-    "f_length f_digits f_upper f_lower f_signs f_hex f_changes f_letter_digit f_distinct f_repeats f_vowels f_upper_prefix f_coverage f_assigned f_quoted f_address "
+    "f_length f_digits f_upper f_lower f_signs f_others f_hex f_changes f_letter_digit f_distinct f_repeats f_vowels f_upper_prefix f_coverage f_assigned f_quoted f_address "
     "f_slashes f_keyword f_lookalike f_placeholder f_path".split()
 )
 
@@ -181,9 +193,43 @@ def worded_findings(spark: SparkSession, each: int = 250) -> DataFrame:
     return reduce(DataFrame.unionAll, parts).coalesce(1)
 
 
+def keyed_findings(spark: SparkSession, each: int = 250) -> DataFrame:
+    """Labelled findings (before, candidate, after, label): what people choose as passwords, and what else follows a secret word."""
+    rows = spark.range(0, each, 1, 1)
+    digest = lambda salt: F.concat(F.sha2(F.concat(F.lit(salt), F.col("id").cast("string")), 256), F.sha1(F.concat(F.lit(salt), F.col("id").cast("string"))))
+    letters = lambda salt, n: F.left(F.translate(digest(salt), "0123456789", "ghijklmnop"), F.lit(n))
+    base = lambda salt, n: F.left(F.regexp_replace(F.base64(F.unhex(digest(salt))), "[+/=]", "A"), F.lit(n))
+    digits = lambda salt, n: F.left(F.translate(digest(salt), "abcdef", "012345"), F.lit(n))
+    one_of = lambda salt, *words: F.get(F.array(*map(F.lit, words)), F.pmod(F.xxhash64(F.lit(salt), "id"), F.lit(len(words))))
+    word = lambda salt: one_of(salt, *WORDS)
+    sign = lambda salt: one_of(salt, "!", "$", "&", "#", "@", "%", "*", "?", ".")
+    prose = F.concat(word("kp"), F.lit(" "), word("kq"), F.lit(" "))
+    tail = F.concat(F.lit(" "), word("kr"), F.lit(" "), word("ks"))
+    name = lambda salt: F.concat(prose, one_of(salt, "password=", "passwd=", "pwd=", "DB_PASSWORD=", "password: ", "secret=", "passphrase=", "token="))
+    mixed = lambda salt: F.regexp_replace(F.initcap(word(salt)), "o", "0")
+    caps = F.left(F.translate(F.upper(F.concat(letters("kc", 40))), "GHIJ", "XYZW"), F.lit(16))
+    kinds = [
+        (1, name("n1"), F.concat(word("k1"), digits("k2", 1)), tail),
+        (1, name("n2"), F.concat(mixed("k3"), letters("k4", 3), sign("k5"), digits("k6", 2)), tail),
+        (1, name("n3"), F.concat(letters("k7", 4), sign("k8"), base("k9", 5), sign("ka")), tail),
+        (1, name("n4"), F.concat(word("kb"), word("kd"), word("ke")), tail),
+        (1, name("n5"), F.concat_ws("-", word("kf"), word("kg"), word("kh"), word("ki")), tail),
+        (1, name("n6"), letters("kj", 14), tail),
+        (1, prose, F.concat(F.lit("AKIA"), caps), tail),
+        (1, F.concat(prose, one_of("m4", "https://site.example/?password=", "http://site.example/in?user=x&token=", "https://site.example/a?api_key=")), F.when(F.col("id") % 2 == 0, F.left(digest("kz"), F.lit(18))).otherwise(base("kz", 20)), F.concat(one_of("m5", "&page=2", ""), tail)),
+        (0, F.concat(prose, one_of("m1", "password: ", "token: ", "secret: ", "pass: ", "auth: ", "passphrase: ", "token=", "secret=")), word("l1"), tail),
+        (0, F.concat(prose, one_of("m2", "password=", "token = ", "secret: ", "api_key=", "pwd=")), one_of("l2", "none", "null", "true", "false", "****", "xxxx", "<password>", "${TOKEN}", "{token}", "$PASSWORD", "changeme", "your_password", "os.environ[", "required", "..."), tail),
+        (0, F.concat(prose, one_of("m3", "token: ", "tokens=", "pass: ", "max_tokens=", "auth: ", "password_length=")), digits("l3", 2), tail),
+        (0, prose, F.concat(one_of("l4", "AKIA", "AIza", "ghp_", "sk_live_"), one_of("l5", "s", "tion", "_name", "-like", "bel")), tail),
+    ]
+    parts = [rows.select(before.alias("before"), key.alias("candidate"), after.alias("after"), F.lit(float(label)).alias("label")) for label, before, key, after in kinds]
+    return reduce(DataFrame.unionAll, parts).coalesce(1)
+
+
 def training(spark: SparkSession, words: DataFrame, each: int = 250) -> DataFrame:
-    """The made and the worded findings with the coverage by ``words`` and by ``WORDS``, which any dictionary is taken to hold."""
-    found = made_findings(spark, each).withColumn("path", F.lit(None).cast("string")).unionByName(worded_findings(spark, each))
+    """The made, worded and keyed findings with the coverage by ``words`` and by ``WORDS``, which any dictionary is taken to hold."""
+    placeless = made_findings(spark, each).unionAll(keyed_findings(spark, each)).withColumn("path", F.lit(None).cast("string"))
+    found = placeless.unionByName(worded_findings(spark, each))
     known = words.unionAll(spark.createDataFrame([(w,) for w in WORDS], "word string"))
     return found.join(covered(found, known), "candidate", "left")
 

@@ -6,7 +6,8 @@ headers, footers, sidebars, notices, adverts, forms and reader comments, and
 the words of links in a page without an article element, have length 0. The
 lengths are summed over sliding windows of lines; where the sums surge above a
 threshold a stretch of main text starts, where they dive to nothing it ends,
-and the text between is kept. In a page that marks its article the lines
+and the text between is kept, as are all stretches, however short, between the
+first and the last that surge. In a page that marks its article the lines
 outside it have length 0 too and the threshold is 0, so that the article is
 kept whole, short lines included.
 
@@ -185,10 +186,10 @@ def main_text(page: str | None, window: int = WINDOW, surge: int = SURGE) -> str
     else:
         lengths = [0 if boiler else max(0, len(text) - linked) for text, _, boiler, linked in lines]
         found = stretches(lengths, window, surge)
-        weight = [sum(lengths[a:b]) for a, b in found]
-        keep = [x for x, w in zip(found, weight, strict=True) if 4 * w >= max(weight)]
-        if not keep:
-            keep = stretches(lengths, window)
+        keep = stretches(lengths, window)
+        if found:
+            low, high = found[0][0], found[-1][1]
+            keep = [(max(a, low), min(b, high)) for a, b in keep if a < high and b > low]
     return " ".join(lines[i][0] for a, b in keep for i in range(a, b) if lengths[i] or (not marked and not lines[i][2]))
 
 

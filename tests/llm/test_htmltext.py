@@ -36,6 +36,14 @@ def test_page_without_article():
     assert text.startswith("Sentence number 0") and text.endswith("here.") and "News" not in text and "Next" not in text
 
 
+def test_short_sections_of_a_page_without_article():
+    advert = "".join(f"<p class='ad'>buy {i}</p>" for i in range(4))
+    long, short, tiny = "long text of the main part " * 40, "a section of one paragraph with rather more than eighty-six characters, split off by adverts", "a tiny section"
+    menu = "".join(f"<div><a href='/{i}'>link {i}</a></div>" for i in range(8))
+    page = f"<body>{menu}<p>{long}</p>{advert}<p>{tiny}</p>{advert}<p>{short}</p>{advert}<p>{long}</p>{advert}<p>{short} too</p>{menu}<p>imprint</p></body>"
+    assert htmltext.main_text(page) == " ".join([long.strip(), tiny, short, long.strip(), short + " too"])
+
+
 def test_stretches():
     assert htmltext.stretches([0, 0, 5, 0, 5, 0, 0, 0, 0, 7]) == [(2, 5), (9, 10)]
     assert htmltext.stretches([1, 0, 0, 0, 9, 9], surge=5) == [(4, 6)]

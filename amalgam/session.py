@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,12 +32,14 @@ def build_session(app: str = "amalgam", master: str | None = None, **conf: str)
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder; a temporary one only where none is configured."""
+    """The shared checkpoint folder; a temporary one only where none is configured and driver and executors are one process."""
     context = spark.sparkContext
     current = context.getCheckpointDir()
     if current:
         return current
     configured = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and not re.fullmatch(r"local(\[.*\])?", context.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     context.setCheckpointDir(configured or os.path.join(tempfile.gettempdir(), "amalgam-checkpoints"))
     return context.getCheckpointDir()
 

@@ -9,7 +9,7 @@ whose prototype has the highest cosine with it.
 
 Training reduces in each task to one vector of whole numbers a language, so
 its result does not depend on the order of rows; the number of languages is
-checked against ``most_langs``. The prototypes (2 KB each) go to the executors
+checked against ``most_langs``. The prototypes (8 KB each) go to the executors
 with the function.
 
 Defined results: null texts and texts without a letter are ``und`` with score
@@ -31,10 +31,10 @@ from pyspark.sql import functions as F
 
 from amalgam.llm.common import map_arrow, slices
 
-DIMS = 512
+DIMS = 1024
 UND = "und"
-#: Trigram vectors that a Python worker remembers (half a KB each).
-KNOWN = 40_000
+#: Trigram vectors that a Python worker remembers (1 KB each).
+KNOWN = 20_000
 _BITS = 21
 
 
@@ -176,28 +176,30 @@ def held_out(id_col: str = "doc_id", folds: int = 4, fold: int = 2):
 
 
 def keep_identified(
-    docs: DataFrame, prototypes: dict[str, np.ndarray], text_col: str = "text", least: float = 0.1, enough: int = 50
+    docs: DataFrame, prototypes: dict[str, np.ndarray], text_col: str = "text", least: float = 0.15
 ) -> DataFrame:
     """The rows of ``docs`` whose language is known; all columns stay.
 
-    A text without a letter is rejected, and one of ``enough`` trigrams or more
-    whose cosine with every language is below ``least`` (text in none of them);
-    shorter texts say too little to be rejected by their cosine. If nothing was
-    learned, only texts without a letter go.
+    A text without a letter is rejected, and one that is surely in none of the
+    languages: even with the chance error of a cosine over its n trigrams,
+    1 / sqrt(n), added, its best cosine is below ``least``. If nothing was
+    learned, only texts without a letter go. Texts are judged row by row, so
+    equal ids with different texts are kept or rejected each for itself.
     """
     at = docs.columns.index(text_col)
     matrix = np.array(list(prototypes.values()), np.float32).reshape(len(prototypes), DIMS)
 
     def known(text: str | None) -> bool:
         grams = trigrams(text) if text else ()
-        if len(grams) < enough or not len(matrix):
+        if not len(grams) or not len(matrix):
             return len(grams) > 0
         vector = bundle(grams)
-        return float((matrix @ vector).max()) >= least * float(np.linalg.norm(vector))
+        cosine = float((matrix @ vector).max()) / max(float(np.linalg.norm(vector)), 1e-9)
+        return cosine + len(grams) ** -0.5 >= least
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            kept = [known(x) for x in batch.column(at).to_pylist()]
-            yield batch.filter(pa.array(kept, pa.bool_()))
+        for part in slices(batches, text_col):
+            kept = [known(x) for x in part.column(at).to_pylist()]
+            yield part.filter(pa.array(kept, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -13,8 +13,10 @@ more than a block of groups:
 3. One block is held back and combined with the sum of all the others, which
    evens out what they missed by.
 
-A group larger than ``split_over`` times a shard's share could not be balanced
-by any placement and is split by document into parts of about a share.
+Groups are indivisible: a group larger than a shard's share makes its shard
+larger than the others by what it has too much, and the others are balanced
+among themselves. A caller may give ``split_over`` to split groups above so
+many shares by document instead.
 
 Defined results: a null text is its own group, of the 8 bytes that every
 document has besides its text, with CRC 0; repeated rows are documents of one
@@ -111,7 +113,7 @@ def balance(groups: DataFrame, ways: int, block: int = BLOCK) -> DataFrame:
     return most.select("key", "shard").unionAll(last.select("key", "shard")).unionAll(first)
 
 
-def shards(docs: DataFrame, ways: int = 24, id_col: str = "doc_id", text_col: str = "text", split_over: float = 1.25) -> DataFrame:
+def shards(docs: DataFrame, ways: int = 24, id_col: str = "doc_id", text_col: str = "text", split_over: float | None = None) -> DataFrame:
     """(id, size, text_crc32, shard, slot) of every document; slots of a shard run from 0 without gaps."""
     raw = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
     base = cut(
@@ -120,18 +122,20 @@ def shards(docs: DataFrame, ways: int = 24, id_col: str = "doc_id", text_col: st
             (F.octet_length(raw) + OVERHEAD).cast("long").alias("size"),
             F.crc32(raw).alias("text_crc32"),
             F.when(F.col(text_col).isNotNull(), F.unhex(F.sha2(raw, 256))).otherwise(F.lit(bytes(32))).alias("digest"),
+            F.monotonically_increasing_id().alias("row"),  # fixed by the checkpoint; spreads rows that are equal
         )
     )
     groups = cut(base.groupBy("digest").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("rows")))
     total, n = groups.agg(F.coalesce(F.sum("bytes"), F.lit(0)), F.coalesce(F.sum("rows"), F.lit(0))).first()
     share = max(1.0, total / ways)
-    parts = F.when(F.col("bytes") > split_over * share, F.ceil(F.col("bytes") / share)).otherwise(F.lit(1)).cast("int")
+    over = F.lit(False) if split_over is None else F.col("bytes") > split_over * share
+    parts = F.when(over, F.ceil(F.col("bytes") / share)).otherwise(F.lit(1)).cast("int")
     # groups with over a thousandth of all rows, a thousand at most, are matched by broadcast: their rows stay spread
     many = F.col("rows") > n / 1000
     hot = F.broadcast(groups.filter(many).select("digest", parts.alias("parts")))
 
     def part_key(parts):
-        return F.concat(F.col("digest"), F.pmod(F.xxhash64("id", "text_crc32"), parts).cast("string").cast("binary"))
+        return F.concat(F.col("digest"), F.pmod(F.xxhash64("id", "text_crc32", "row"), parts).cast("string").cast("binary"))
 
     cold_docs = base.join(hot, "digest", "left_anti").withColumn("key", F.concat(F.col("digest"), F.lit(b"0")))
     hot_docs = base.join(hot, "digest").withColumn("key", part_key(F.col("parts"))).drop("parts")
@@ -141,7 +145,7 @@ def shards(docs: DataFrame, ways: int = 24, id_col: str = "doc_id", text_col: st
     hot_places = placed.join(F.broadcast(groups.filter(many).select("digest")), F.substring("key", 1, 32) == F.col("digest"), "left_semi")
     chosen = cold_docs.join(placed, "key").unionByName(hot_docs.join(F.broadcast(hot_places), "key"))
     runs = max(1, -(-n // (ways * NUMBERED)))
-    dealt = cut(chosen.select("id", "size", "text_crc32", "shard", F.pmod(F.xxhash64("id", "text_crc32"), F.lit(runs)).alias("run")))
+    dealt = cut(chosen.select("id", "size", "text_crc32", "shard", F.pmod(F.xxhash64("id", "text_crc32", "row"), F.lit(runs)).alias("run")))
     before = Window.partitionBy("shard").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)  # runs, not rows
     starts = dealt.groupBy("shard", "run").agg(F.count(F.lit(1)).alias("n")).select("shard", "run", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
     within = F.row_number().over(Window.partitionBy("shard", "run").orderBy("id", "text_crc32")) - 1

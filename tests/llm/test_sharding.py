@@ -14,6 +14,38 @@ def test_differencing_classic():
     assert sorted(sums) == [14, 16]
 
 
+def by_hand(sizes, ways):
+    """Spread that differencing leaves: lists of labelled parts, the two of largest spread combined by search each time."""
+    left = [(k, sorted([n] + [0] * (ways - 1), reverse=True)) for k, n in enumerate(sizes)]
+    n = len(left)
+    while len(left) > 1:
+        left.sort(key=lambda p: (p[1][-1] - p[1][0], p[0]))
+        (_, a), (_, b) = left[:2]
+        left[:2] = [(n, sorted((x + y for x, y in zip(a, b[::-1], strict=True)), reverse=True))]
+        n += 1
+    return left[0][1]
+
+
+@pytest.mark.parametrize("ways", [2, 3, 7])
+def test_differencing_by_hand(ways):
+    rng = random.Random(ways)
+    for _ in range(20):
+        sizes = [rng.randrange(1, 60) for _ in range(rng.randrange(1, 25))]
+        sums = [0] * ways
+        for n, parts in zip(sizes, sharding.differencing([[n] + [0] * (ways - 1) for n in sizes], ways), strict=True):
+            sums[parts[0]] += n
+        assert sorted(sums, reverse=True) == by_hand(sizes, ways)
+
+
+def test_many_rows_of_one_id(spark):
+    rows = [(7, "same text")] * 500 + [(None, "t%d" % i) for i in range(200)]
+    got = sharding.shards(spark.createDataFrame(rows, "doc_id long, text string"), 4).collect()
+    slots = {}
+    for r in got:
+        slots.setdefault(r.shard, []).append(r.slot)
+    assert len(got) == 700 and all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
 @pytest.mark.parametrize("ways", [1, 3, 24])
 def test_differencing_is_a_placement(ways):
     rng = random.Random(ways)
@@ -61,11 +93,20 @@ def test_levels_and_oversized_group(spark, tmp_path, monkeypatch):
     rng = random.Random(4)
     rows = [(i, "copy " * 20 if i % 3 == 0 else "w" * rng.randrange(300)) for i in range(2400)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    got = sharding.shards(docs, 24).collect()
+    got = sharding.shards(docs, 24, split_over=1.25).collect()
     sizes = [0] * 24
     for r in got:
         sizes[r.shard] += r["size"]
     assert max(sizes) - min(sizes) < 0.05 * sum(sizes) / 24
+    whole = sharding.shards(docs, 24).collect()
+    copy = zlib.crc32(("copy " * 20).encode())
+    hot = {r.shard for r in whole if r.text_crc32 == copy}
+    sizes = [0] * 24
+    for r in whole:
+        sizes[r.shard] += r["size"]
+    rest = [n for j, n in enumerate(sizes) if j not in hot]
+    assert len(hot) == 1 and len(whole) == len(rows) and max(rest) - min(rest) < 0.05 * sum(rest) / 23
+    assert sizes[hot.pop()] == sum(r["size"] for r in whole if r.text_crc32 == copy)
     groups = spark.createDataFrame([(str(i), rng.randrange(1, 5000)) for i in range(900)], "key string, bytes long")
     placed = {r.key: r.shard for r in sharding.balance(groups, 6, block=20).collect()}
     sums = [0] * 6

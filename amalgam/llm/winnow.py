@@ -9,8 +9,8 @@ ever matched.
 Defined results: a null text counts as empty and has an empty fingerprint; a
 text shorter than ``K`` is one gram, one with fewer grams than ``WINDOW`` is one
 window; two empty fingerprints are alike with likeness 1. Documents follow each
-other by ascending id, null first, equal ids by text; the last is followed by
-the first, a single document by itself. Repeated rows are separate documents.
+other by ascending id, null first, equal ids by the hash of their text (then by
+the text); the last is followed by the first, a single document by itself. Repeated rows are separate documents.
 An empty table gives no rows. Other columns are ignored.
 """
 
@@ -140,10 +140,11 @@ def compare_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     One range shuffle orders the documents; each task walks its range and
     keeps one document in hand. Only the first and the last text of each range
-    travel again, to be compared across the borders.
+    travel again, to be compared across the borders: every last text is joined
+    with the first one of the next range, so that no task gathers them.
     """
     spark = docs.sparkSession
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("hash", F.xxhash64("text"))
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(100_000, ceil_div(docs.count(), rows_per_task)))
     names = [x.split()[0] for x in _RESULT.split(", ")]
     types = pa.schema([(n, pa.int64() if t == "long" else pa.float64() if t == "double" else pa.string()) for n, t in (x.split() for x in _RESULT.split(", "))])
@@ -176,12 +177,12 @@ def compare_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
             out.add(id_, text, out.prints(text), following, out.prints(following))
         return dict(zip(names, zip(*out.take(), strict=True), strict=True)) if part.num_rows else None
 
-    ordered = rows.repartitionByRange(tasks, "id").sortWithinPartitions("id", "text")
+    ordered = rows.repartitionByRange(tasks, "id", "hash").sortWithinPartitions("id", "hash", "text").select("id", "text")
     done = cut(ordered.mapInArrow(walk, f"{_RESULT}, first_text string, last_text string").withColumn("task", F.spark_partition_id()))
-    by_task = Window.orderBy("task")  # one row a task
+    borders = done.filter("last_text is not null")
+    by_task = Window.orderBy("task")  # one number a task, no texts
     whole = by_task.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    last = done.filter("last_text is not null").select(
-        "id", F.col("last_text").alias("text"),
-        F.coalesce(F.lead("first_text").over(by_task), F.first("first_text").over(whole)).alias("following"),
-    )
+    follows = borders.select("task", F.coalesce(F.lead("task").over(by_task), F.first("task").over(whole)).alias("next"))
+    firsts = borders.select(F.col("task").alias("next"), F.col("first_text").alias("following"))
+    last = borders.select("task", "id", F.col("last_text").alias("text")).join(follows, "task").join(firsts, "next").select("id", "text", "following")
     return done.filter("last_text is null").select(*names).unionAll(map_arrow(last, border, _RESULT, by="text"))

@@ -1,14 +1,17 @@
 """Exact top-k inner products by norm-bucketed retrieval.
 
 Vectors are turned into whole numbers (floor of ``SCALE`` times a component).
-Candidates are ordered by length into ranges (tasks) and, in a task, buckets of
-``BUCKET`` vectors; queries come in blocks of ``QUERIES``. A query's k-th best
-score so far, at first over the ``PILOT`` longest candidates, gives each bucket
-a local threshold: the cosine that a candidate of its length needs. A threshold
-over 1 skips the bucket, and with it all shorter ones; a high one prunes by the
-query's strongest coordinate, which confines that coordinate of a unit
-candidate to an interval; a low one prunes by length alone. What is left is
-verified by whole-number products.
+Candidates are ordered by length into ranges of ``RANGE_BYTES`` and, in a task,
+buckets of ``BUCKET`` vectors. A query's k-th best score so far, at first over
+the ``PILOT`` longest candidates, divided by its own length is the length that
+a candidate needs at least; queries are ordered by it into blocks. The longest
+vector of each range and the least need of each block, a number each, tell
+which ranges a block has to see: only these travel. Within a task the k-th best
+score gives each bucket a local threshold: the cosine that a candidate of its
+length needs. A threshold over 1 skips the bucket, and with it all shorter
+ones; a high one prunes by the query's strongest coordinate, which confines
+that coordinate of a unit candidate to an interval; a low one prunes by length
+alone. What is left is verified by whole-number products.
 
 Defined results: a vector that is null or holds a null or non-finite component
 takes no part, nor does one without an id; shorter vectors count as padded with
@@ -26,12 +29,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from amalgam.llm.common import ceil_div, cut
+from amalgam.llm.common import ceil_div, cut, small
 
 SCALE = 256.0
-BUCKET, PILOT, QUERIES = 2048, 4096, 4096
-#: Candidates of a task.
-RANGE = 65_536
+BUCKET, PILOT = 2048, 4096
+#: Bytes of the candidates of a range and of the queries of a block, as whole numbers of 64 bits.
+RANGE_BYTES = QUERY_BYTES = 4 << 20
 #: Local cosine threshold from which a bucket is pruned by coordinate.
 HIGH = 0.7
 #: Relative slack of the float bounds; scores themselves are whole numbers.
@@ -46,10 +49,13 @@ def quantised(vector: Column, scale: float = SCALE) -> Column:
 
 
 def _matrix(column: pa.ChunkedArray | pa.Array, width: int) -> np.ndarray:
-    rows = column.to_pylist()
-    out = np.zeros((len(rows), width), np.int64)
-    for i, row in enumerate(rows):
-        out[i, : len(row)] = row
+    lists = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    at = lists.offsets.to_numpy().astype(np.int64)
+    values, each = lists.values.to_numpy(zero_copy_only=False)[at[0] : at[-1]], np.diff(at)
+    if len(each) and (each == width).all():
+        return values.reshape(len(each), width)
+    out = np.zeros((len(each), width), np.int64)
+    out[np.repeat(np.arange(len(each)), each), np.arange(len(values)) - np.repeat(at[:-1] - at[0], each)] = values
     return out
 
 
@@ -141,7 +147,8 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_
     square = F.aggregate("v", F.lit(0.0), lambda total, x: total + x.cast("double") * x.cast("double"))
     rows = cut(rows.withColumn("square", square))
     n, width, n_queries = rows.agg(F.count(F.lit(1)), F.max(F.size("v")), F.count_if(is_query)).first()
-    ranges, blocks, width = max(1, ceil_div(n, RANGE)), max(1, ceil_div(n_queries, QUERIES)), width or 0
+    width = width or 0
+    ranges, blocks = (max(1, ceil_div(count * max(1, width) * 8, limit)) for count, limit in ((n, RANGE_BYTES), (n_queries, QUERY_BYTES)))
     pilot_rows = rows.orderBy(F.desc("square"), "id").limit(PILOT).select("id", "v").toArrow()  # bounded by PILOT
     pilot = pilot_rows.column(0).to_numpy().astype(np.int64), _matrix(pilot_rows.column(1), width)
 
@@ -152,13 +159,20 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_
                 found.run(*pilot)
                 # a repeated id would be counted twice here, so the bound takes distinct ids only
                 least = [float(s[-1]) if len(s) == k and len(set(i.tolist())) == k else -np.inf for i, s in found.best]
-                yield pa.RecordBatch.from_pydict({"id": part.column(0), "v": part.column(1), "least": pa.array(least, pa.float64())})
-
-    queries = rows.filter(is_query).dropDuplicates(["id"]).select("id", "v").repartition(blocks).mapInArrow(thresholds, "id long, v array<long>, least double")
-    queries = cut(queries.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks))))
-    asked = queries.withColumn("range", F.explode(F.sequence(F.lit(0), F.lit(ranges - 1))))
-    by_length = rows.dropDuplicates(["id"]).repartitionByRange(ranges, F.desc("square"), "id")
-    held = by_length.withColumn("range", F.spark_partition_id() % ranges).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+                with np.errstate(divide="ignore", invalid="ignore"):
+                    need = np.where(np.array(least) > 0, np.array(least) / found.lengths, 0.0)
+                yield pa.RecordBatch.from_pydict({"id": part.column(0), "v": part.column(1), "least": pa.array(least, pa.float64()), "need": pa.array(need, pa.float64())})
+
+    asked = rows.filter(is_query).dropDuplicates(["id"]).select("id", "v").repartition(blocks).mapInArrow(thresholds, "id long, v array<long>, least double, need double")
+    queries = cut(asked.repartitionByRange(blocks, "need", "id").withColumn("block", F.spark_partition_id()))
+    held = cut(rows.dropDuplicates(["id"]).repartitionByRange(ranges, F.desc("square"), "id").withColumn("range", F.spark_partition_id()))
+    # a range's longest vector and a block's least need: one number each
+    tops = held.groupBy("range").agg((F.sqrt(F.max("square")) * (1 + SLACK)).alias("top"))
+    needs = queries.groupBy("block").agg(F.min("need").alias("need"))
+    seen = cut(small(tops).join(needs, F.col("top") >= F.col("need")).select("block", "range"))
+    pairs = max(1, min(seen.count(), 1 << 16))
+    asked_of = queries.join(small(seen), "block").select("block", "range", "id", "v", "least").repartition(pairs, "block", "range")
+    held_for = held.join(small(seen), "range").select("block", "range", "id", "v").repartition(pairs, "block", "range")
 
     def meet(asked_rows: pa.Table, held_rows: pa.Table) -> pa.Table:
         names = ["query_id", "vec_id", "score"]
@@ -171,8 +185,6 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_
         each = [len(i) for i, _ in found.best]
         return pa.table([np.repeat(ids, each), np.concatenate([i for i, _ in found.best]), np.concatenate([s for _, s in found.best])], names=names)
 
-    key = ["block", "range"]
-    asked, held = asked.select(*key, "id", "v", "least"), held.select(*key, "id", "v")
-    local = asked.groupBy(*[F.col(c).cast("int") for c in key]).cogroup(held.groupBy(*[F.col(c).cast("int") for c in key])).applyInArrow(meet, "query_id long, vec_id long, score long")
+    local = asked_of.groupBy("block", "range").cogroup(held_for.groupBy("block", "range")).applyInArrow(meet, "query_id long, vec_id long, score long")
     place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return local.withColumn("rank", place).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -2,6 +2,7 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from amalgam.llm import queries, topk
@@ -28,8 +29,8 @@ def make(seed, n, dims=8, scale=1.0):
 
 @pytest.mark.parametrize("seed", [1, 2])
 def test_query(spark, tmp_path, seed, monkeypatch):
-    monkeypatch.setattr(topk, "RANGE", 150)
-    monkeypatch.setattr(topk, "QUERIES", 4)
+    monkeypatch.setattr(topk, "RANGE_BYTES", 150 * 64)
+    monkeypatch.setattr(topk, "QUERY_BYTES", 4 * 64)
     monkeypatch.setattr(topk, "PILOT", 20)
     rows = make(seed, 600)
     rows += [(1000, None), (1050, [float("nan")] * 8), (1100, [None] * 8), (1150, rows[3][1]), (1151, rows[3][1]), (1152, rows[3][1]), (None, rows[4][1]), (1200, [1.0, 2.0]), (1250, [0.0] * 8), (1300, [])]
@@ -64,6 +65,18 @@ def test_exact_beyond_floats():
     assert topk.products(a, a).tolist() == [[int(x) * int(y) + int(u) * int(v) for y, v in a.tolist()] for x, u in a.tolist()]
 
 
+def test_matrix_of_uneven_rows():
+    lists = pa.chunked_array([pa.array([[9], [1, 2], [], [3]], pa.list_(pa.int64())).slice(1), pa.array([[4, 5]], pa.list_(pa.int64()))])
+    assert topk._matrix(lists, 2).tolist() == [[1, 2], [0, 0], [3, 0], [4, 5]]
+
+
+def test_wide_vectors(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, [float(x) for x in rng.normal(size=3000)]) for i in range(120)]
+    found = topk.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), topk.F.col("id") % 50 == 0)
+    assert {tuple(r) for r in found.collect()} == brute(rows)
+
+
 def test_few_and_none(spark):
     frame = spark.createDataFrame([(0, [1.0]), (1, [2.0])], "vec_id long, embedding array<float>")
     found = topk.search(frame, topk.F.col("id") % 50 == 0)

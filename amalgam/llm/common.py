@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from amalgam.session import cut, table
 
-__all__ = ["cut", "table", "slices", "map_arrow", "all_of", "components", "ceil_div", "small"]
+__all__ = ["cut", "table", "slices", "map_arrow", "all_of", "components", "free_name", "ceil_div", "small"]
 
 #: Bytes of input that one output batch of a Python stage covers at most (one row may be longer).
 BATCH_BYTES = 4 << 20
@@ -31,14 +31,16 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, limit: int = BATCH_BY
             at += step
 
 
-def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], dict | None], schema: str, by: str) -> DataFrame:
-    """``mapInArrow`` with small batches; ``fn`` turns a batch into columns."""
+def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], dict | None], schema: str, by: str, finish: Callable[[], object] | None = None) -> DataFrame:
+    """``mapInArrow`` with small batches; ``fn`` turns a batch into columns, ``finish`` ends a task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, by):
             out = fn(part)
             if out is not None:
                 yield pa.RecordBatch.from_pydict(out)
+        if finish is not None:
+            finish()
 
     return df.mapInArrow(run, schema)
 
@@ -62,7 +64,8 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     Alternates the large-star and small-star contractions, both plain
     aggregations and equi-joins, until the edge set stands still; a node's
     neighbours are never gathered in one place. Nodes without an edge to
-    another node do not appear.
+    another node do not appear. The rounds grow with the logarithm of the
+    longest chain; RuntimeError if ``most_rounds`` were too few.
     """
 
     def stand(frame: DataFrame) -> tuple:
@@ -76,7 +79,7 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
 
     edges = cut(edges.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     before = stand(edges)
-    for _ in range(most_rounds):
+    for _ in range(most_rounds if before[0] else 1):
         if not before[0]:
             break
         both = edges.selectExpr("a as u", "b as v").unionAll(edges.selectExpr("b as u", "a as v"))
@@ -92,5 +95,19 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         if after == before:
             break
         before = after
+    else:
+        raise RuntimeError(f"components did not settle in {most_rounds} rounds")
     roots = edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return roots.unionAll(edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
+
+
+def free_name(df: DataFrame, *wanted: str) -> list[str]:
+    """Column names like ``wanted`` that ``df`` does not have (in any case)."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out

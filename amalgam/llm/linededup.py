@@ -2,36 +2,49 @@
 
 A text's lines are hashed, and a rolling (cyclic polynomial) hash over the last
 ``WINDOW`` line hashes cuts the text after about every ``DIVISOR``-th line; a
-line of ``ALONE`` words or more is a chunk of its own. Where a cut falls thus
-depends on the lines just before it alone, so inserted or removed lines shift
-the cuts around them and no others. A chunk that occurs more than once in all
-documents stays where its first occurrence is (least id, then position) and is
-removed elsewhere, after its bytes were compared with the first's. Chunks of
-few words (under ``LEAST`` for several lines, under ``ALONE`` for one) are too
-common to mean a copy and stay.
-
-Only hashes are shuffled for all chunks. Texts travel once, to meet the list of
-their chunks in question, and then the repeated chunks alone travel to be
-compared, in parts of at most ``PART`` occurrences of a chunk.
+line of ``ALONE`` words or more is cut off on either side, so that a passage of
+one line is a chunk whatever surrounds it. Where a cut falls thus depends on
+the lines just beside it alone, so inserted or removed lines shift the cuts
+around them and no others. A chunk that occurs more than once in all documents
+is kept where its first occurrence is (least id, then position); every other
+occurrence is compared byte by byte with it. So are, as chunks of their own,
+the ``WINDOW`` lines before each cut that the rolling hash made: a repeated
+passage has them in common even where the lines around it made its first and
+last cuts differ. A match is extended over the equal lines next to it, back to
+the start of the chunk before and on to the end of the chunk after. Matches
+that touch or overlap in a document are one repeated passage, which goes if it
+has ``LEAST`` words or more; shorter ones are too common to mean a copy and
+stay.
+
+Only hashes are shuffled for all chunks. Hashes that hold over a
+``HOT_SHARE``-th of all chunks, fewer than ``HOT_SHARE`` of them, meet their
+first occurrence by a broadcast of these alone. Texts travel once, to meet the
+list of their chunks in question, and then the repeated chunks alone travel to
+be compared, in parts of at most ``PART`` occurrences of a chunk.
 
 Defined results: a null text has no lines and stays null, an empty one has one
 empty line; rows repeated whole are one document (none loses text to its
-double); ids may be null; an empty table gives no rows; other columns are
-ignored (:func:`clean_documents` keeps them).
+double); ids may be null, and different texts of one id are different
+documents; an empty table gives no rows; other columns are ignored
+(:func:`clean_documents` keeps them, whatever their names).
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from amalgam.llm.common import cut, free_name
+
 WINDOW = 2
 DIVISOR = 2
 ALONE = 16
-LEAST = 8
+LEAST = 16
 PART = 4096
+HOT_SHARE = 2000
+WORD = r"\S+"
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -48,10 +61,10 @@ def _turn(value: Column, by: int) -> Column:
 
 
 def chunks(text: Column, window: int = WINDOW, divisor: int = DIVISOR, alone: int = ALONE) -> Column:
-    """array<struct<at, n, words, hash>>: first line (from 0), lines, words and hash of every chunk."""
+    """array<struct<at, n, hash, before, after>>: first line (from 0), lines and hash of every chunk and cut, lines to look at around it."""
 
     def measured(line: Column) -> Column:
-        return F.struct(F.xxhash64(line).alias("hash"), F.regexp_count(line, F.lit(r"\S+")).alias("words"))
+        return F.struct(F.xxhash64(line).alias("hash"), F.regexp_count(line, F.lit(WORD)).alias("words"))
 
     def rolled(lines: Column, i: Column) -> Column:
         parts = [F.coalesce(_turn(F.get(lines, i - j)["hash"], j), F.lit(0)) for j in range(window)]
@@ -67,92 +80,124 @@ def chunks(text: Column, window: int = WINDOW, divisor: int = DIVISOR, alone: in
     def cut_up(lines: Column) -> Column:
         n = F.size(lines)
         ends = F.filter(F.sequence(F.lit(0), n - 1), lambda i: (i == n - 1) | cut_after(lines, i))
-        return _let(ends, lambda e: F.transform(e, lambda end, k: chunk(lines, F.coalesce(F.get(e, k - 1) + 1, F.lit(0)), end)))
-
-    def chunk(lines: Column, at: Column, end: Column) -> Column:
-        inside = F.slice(lines, at + 1, end - at + 1)
-        return _let(inside, lambda x: F.struct(
-            at.alias("at"), F.size(x).alias("n"),
-            F.aggregate(x, F.lit(0), lambda total, line: total + line["words"]).alias("words"),
-            F.xxhash64(F.transform(x, lambda line: line["hash"])).alias("hash"),
+        return _let(ends, lambda e: F.concat(
+            F.transform(e, lambda end, k: chunk(lines, e, k, F.coalesce(F.get(e, k - 1) + 1, F.lit(0)), end, 0)),
+            F.filter(
+                F.transform(e, lambda end, k: F.when(
+                    (F.get(lines, end)["words"] < alone) & (F.coalesce(F.get(e, k - 1), F.lit(-1)) != end - window) & (end + 1 >= window),
+                    chunk(lines, e, k, end + 1 - window, end, 1),
+                )),
+                lambda c: c.isNotNull(),
+            ),
         ))
 
+    def chunk(lines: Column, e: Column, k: Column, at: Column, end: Column, kind: int) -> Column:
+        return F.struct(
+            at.alias("at"), (end + 1 - at).alias("n"),
+            F.xxhash64(F.transform(F.slice(lines, at + 1, end + 1 - at), lambda line: line["hash"]), F.lit(kind)).alias("hash"),
+            F.greatest(at - F.coalesce(F.get(e, k - 2) + 1, F.lit(0)), F.lit(0)).alias("before"),
+            (F.coalesce(F.get(e, k + 1), end) - end).alias("after"),
+        )
+
     return F.when(text.isNotNull(), _let(F.transform(lines_of(text), measured), cut_up))
 
 
-def _eligible(words: Column, n: Column, least: int, alone: int) -> Column:
-    return (words >= alone) | ((n > 1) & (words >= least))
+def _equal_run(a: Column, b: Column, at_end: bool) -> Column:
+    """How many lines two arrays have in common at their end or start."""
+    n = F.least(F.size(a), F.size(b))
+    place = (lambda x, i: F.get(x, F.size(x) - 1 - i)) if at_end else F.get
+    differ = F.array_position(F.transform(F.sequence(F.lit(0), n - 1), lambda i: place(a, i) != place(b, i)), True)
+    return F.when(n == 0, 0).when(differ == 0, n).otherwise(differ - 1).cast("int")
 
 
-def repeated_chunks(docs: DataFrame, least: int = LEAST, **how) -> tuple[DataFrame, DataFrame]:
-    """(docs by key, verified): the documents, and rows (id, key, at, n, first_id) of chunks to remove.
+def repeated_passages(docs: DataFrame, **how) -> tuple[DataFrame, DataFrame]:
+    """(docs by key, found): the documents, and rows (id, key, repeated) of their repeated passages of any length.
 
-    ``docs`` has the columns id and text; ``key`` tells apart texts of equal ids.
+    ``docs`` has the columns id and text; ``key`` tells apart texts of equal
+    ids; ``repeated`` is a sorted array of (at, n, first_id).
     """
-    alone = how.get("alone", ALONE)
     keyed = docs.select("id", F.xxhash64("id", "text").alias("key"), "text")
-    found = keyed.select("id", "key", F.inline(chunks(F.col("text"), **how))).filter(_eligible(F.col("words"), F.col("n"), least, alone))
+    found = cut(keyed.select("id", "key", F.inline(chunks(F.col("text"), **how))))
     place = F.struct("id", "key", "at")
     firsts = found.groupBy("hash").agg(F.min(place).alias("first"), F.max(place).alias("last"), F.count(F.lit(1)).alias("times")).filter("first != last")
-    here = found.join(firsts.select("hash", "first", "times"), "hash").select(
-        "id", "key", "at", "n", "hash", (place != F.col("first")).alias("later"),
-        F.ceil(F.col("times") / PART).cast("int").alias("parts"),
-    )
-    asked = here.groupBy("id", "key").agg(F.collect_set(F.struct("at", "n", "hash", "later", "parts")).alias("asked"))
+    firsts = cut(firsts.select("hash", "first", "times", F.ceil(F.col("times") / PART).cast("int").alias("parts")))
+    hot = F.col("times") * HOT_SHARE > found.count()
+    few = F.broadcast(firsts.filter(hot))  # fewer than HOT_SHARE rows
+    rest = found.join(few.select("hash"), "hash", "left_anti").join(firsts.filter(~hot), "hash")
+    met = found.join(few, "hash").unionByName(rest)
+    here = met.select("id", "key", F.struct("at", "n", "hash", "before", "after", (place != F.col("first")).alias("later"), "parts").alias("c"))
+    asked = here.groupBy("id", "key").agg(F.collect_set("c").alias("asked"))
     same = [F.col("a.id").eqNullSafe(F.col("b.id")), F.col("a.key") == F.col("b.key")]
     read = keyed.alias("a").join(asked.alias("b"), same).select("a.id", "a.key", lines_of(F.col("a.text")).alias("lines"), F.explode("asked").alias("c"))
-    texts = read.select("id", "key", "c.*", F.array_join(F.slice("lines", F.col("c.at") + 1, F.col("c.n")), "\n").alias("chunk"))
+    at, n = F.col("c.at"), F.col("c.n")
+    texts = read.select(
+        "id", "key", "c.at", "c.n", "c.hash", "c.later", "c.parts",
+        F.struct(
+            F.slice("lines", at + 1, n).alias("chunk"),
+            F.slice("lines", at + 1 - F.col("c.before"), F.col("c.before")).alias("before"),
+            F.slice("lines", at + 1 + n, F.col("c.after")).alias("after"),
+        ).alias("x"),
+    )
     later = texts.filter("later").withColumn("part", F.pmod(F.xxhash64("id", "key", "at"), F.col("parts")).cast("int"))
     first = (
         texts.filter("not later").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        .select("hash", "part", F.col("id").alias("first_id"), F.col("chunk").alias("first_chunk"))
+        .select("hash", "part", F.col("id").alias("first_id"), F.col("x").alias("y"))
         .dropDuplicates(["hash", "part"])
     )
-    verified = later.join(first, ["hash", "part"]).filter("chunk = first_chunk").select("id", "key", "at", "n", "first_id").distinct()
-    return keyed, verified
+    equal = later.join(first, ["hash", "part"]).filter("x.chunk = y.chunk")
+    back, on = _equal_run(F.col("x.before"), F.col("y.before"), True), _equal_run(F.col("x.after"), F.col("y.after"), False)
+    spread = equal.select("id", "key", "first_id", (F.col("at") - back).alias("at"), (F.col("at") + F.col("n") + on).alias("end")).distinct()
+    in_text = Window.partitionBy("id", "key").orderBy("at", "end")  # the repeated chunks of one document
+    starts = F.coalesce(F.col("at") > F.max("end").over(in_text.rowsBetween(Window.unboundedPreceding, -1)), F.lit(True))
+    passages = (
+        spread.withColumn("starts", starts.cast("int")).withColumn("passage", F.sum("starts").over(in_text.rowsBetween(Window.unboundedPreceding, 0)))
+        .groupBy("id", "key", "passage").agg(F.min("at").alias("at"), F.max("end").alias("end"), F.min("first_id").alias("first_id"))
+    )
+    return keyed, passages.groupBy("id", "key").agg(F.sort_array(F.collect_list(F.struct("at", (F.col("end") - F.col("at")).alias("n"), "first_id"))).alias("repeated"))
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """(id, text, clean, removed): each document, its text without repeated chunks, and what was removed.
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST, **how) -> DataFrame:
+    """(id, text, clean, removed): each document, its text without repeated passages, and what was removed.
 
-    ``removed`` is an array of (at, n, first_id): first line, lines, and the id
-    of the document that keeps the chunk; ``clean`` is empty if all was removed.
+    ``removed`` is an array of (at, n, first_id): first line, lines, and the
+    least id of the documents that keep its chunks; ``clean`` is empty if all
+    was removed.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    keyed, verified = repeated_chunks(rows, **how)
-    gone = verified.groupBy("id", "key").agg(F.sort_array(F.collect_list(F.struct("at", "n", "first_id"))).alias("removed"))
+    keyed, found = repeated_passages(rows, **how)
     same = [F.col("a.id").eqNullSafe(F.col("b.id")), F.col("a.key") == F.col("b.key")]
-    both = keyed.alias("a").join(gone.alias("b"), same, "left").select("a.id", "a.text", F.coalesce("b.removed", F.array().cast("array<struct<at:int,n:int,first_id:bigint>>")).alias("removed"))
-    return both.select("id", "text", _without(F.col("text"), F.col("removed")).alias("clean"), "removed")
+    both = keyed.alias("a").join(found.alias("b"), same, "left").select("a.id", "a.text", F.coalesce("b.repeated", F.array().cast("array<struct<at:int,n:int,first_id:bigint>>")).alias("repeated"))
+    return both.select("id", "text", _without(F.col("text"), F.col("repeated"), least).alias("done")).select("id", "text", "done.clean", "done.removed")
 
 
-def _without(text: Column, removed: Column) -> Column:
-    """The lines of ``text`` that no removed chunk covers."""
+def _without(text: Column, repeated: Column, least: int) -> Column:
+    """struct(clean, removed): the lines of ``text`` outside the repeated passages of ``least`` words or more, and these."""
 
-    def kept(lines: Column) -> Column:
+    def kept(lines: Column, removed: Column) -> Column:
         last = F.size(removed)
-        gap = F.transform(
+        gaps = F.transform(
             F.sequence(F.lit(0), last),
             lambda k: _let(
-                F.struct(
-                    F.when(k == 0, F.lit(0)).otherwise(F.get(removed, k - 1)["at"] + F.get(removed, k - 1)["n"]).alias("a"),
-                    F.when(k == last, F.size(lines)).otherwise(F.get(removed, k)["at"]).alias("b"),
-                ),
-                lambda g: F.slice(lines, g["a"] + 1, F.greatest(g["b"] - g["a"], F.lit(0))),
+                F.coalesce(F.get(removed, k - 1)["at"] + F.get(removed, k - 1)["n"], F.lit(0)),
+                lambda a: F.slice(lines, a + 1, F.coalesce(F.get(removed, k)["at"], F.size(lines)) - a),
             ),
         )
-        return F.array_join(F.flatten(gap), "\n")
+        return F.array_join(F.flatten(gaps), "\n")
+
+    def long(lines: Column) -> Column:
+        words = lambda c: F.aggregate(F.slice(lines, c["at"] + 1, c["n"]), F.lit(0), lambda n, line: n + F.regexp_count(line, F.lit(WORD)))
+        return _let(F.filter(repeated, lambda c: words(c) >= least), lambda gone: F.struct(F.when(F.size(gone) == 0, text).otherwise(kept(lines, gone)).alias("clean"), gone.alias("removed")))
 
-    return F.when(F.size(removed) == 0, text).otherwise(_let(lines_of(text), kept))
+    return F.when(F.size(repeated) == 0, F.struct(text.alias("clean"), repeated.alias("removed"))).otherwise(_let(lines_of(text), long))
 
 
-def clean_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+def clean_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST, **how) -> DataFrame:
     """``docs`` with the text of every row cleaned; all columns and rows stay."""
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    _, verified = repeated_chunks(rows, **how)
-    gone = verified.groupBy("id", "key").agg(F.sort_array(F.collect_list(F.struct("at", "n", "first_id"))).alias("__removed"))
-    gone = gone.select(F.col("id").alias("__id"), F.col("key").alias("__key"), "__removed")
-    key = F.xxhash64(F.col(id_col).cast("long"), F.col(text_col))
-    both = docs.withColumn("__k", key).join(gone, F.col(id_col).cast("long").eqNullSafe(F.col("__id")) & (F.col("__k") == F.col("__key")), "left")
-    clean = F.when(F.col("__removed").isNull(), F.col(text_col)).otherwise(_without(F.col(text_col), F.col("__removed")))
+    _, found = repeated_passages(rows, **how)
+    own, id_, key, repeated = free_name(docs, "own_key", "gone_id", "gone_key", "repeated")
+    found = found.select(F.col("id").alias(id_), F.col("key").alias(key), F.col("repeated").alias(repeated))
+    of_row = F.col(f"`{id_col}`").cast("long")
+    both = docs.withColumn(own, F.xxhash64(of_row, F.col(text_col))).join(found, of_row.eqNullSafe(F.col(id_)) & (F.col(own) == F.col(key)), "left")
+    clean = F.when(F.col(repeated).isNull(), F.col(text_col)).otherwise(_without(F.col(text_col), F.col(repeated), least)["clean"])
     return both.select(*[(clean if c == text_col else F.col(f"`{c}`")).alias(c) for c in docs.columns])

@@ -5,7 +5,8 @@ copies and a third with a chance of 0.3). Of all rates that give every source
 its target of words, none above ``most`` copies, the ones closest to taking
 each document once (in relative entropy) are exponentially tilted in the
 document's size: w_i = min(most, exp(lambda_s * x_i)), x_i the size over the
-source's mean size. Lambda is found by Newton steps on the dual's gradient,
+source's mean size; a source whose target is ``most`` times its size takes every
+document so often and needs no tilt. Lambda is found by Newton steps on the dual's gradient,
 one aggregation over the (source, size) histogram each, kept inside a bracket
 that every step narrows. Rates are rounded to whole copies by error diffusion
 from long to short documents within blocks of bounded size, so that a block
@@ -16,8 +17,9 @@ drawn at random: reruns agree.
 
 Defined results: null texts have size 0 and are never taken; a null source is a
 source of its own, after all others; rows repeated whole are taken equally
-often; sources without words have target 0; an empty table gives no rows; other
-columns are ignored (:func:`mix_documents` keeps them).
+often, and so are different texts of one id, size and source; sources without
+words have target 0; an empty table gives no rows; other columns are ignored
+(:func:`mix_documents` keeps them, whatever their names).
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from amalgam.llm.common import cut, small
+from amalgam.llm.common import cut, free_name, small
 
 #: No document is taken more often.
 MOST = 3
@@ -78,7 +80,10 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most:
 
 
 def tilts(sizes: DataFrame, targets: DataFrame, most: int = MOST, rounds: int = 60, close: float = 1e-9) -> DataFrame:
-    """(key, mean, lam): the tilt of each source that has words, from (key, size, rows) counts."""
+    """(key, mean, lam): the tilt of each source that has words, from (key, size, rows) counts.
+
+    RuntimeError if a source misses its target by more than ``close`` after ``rounds`` steps.
+    """
     full = targets.filter("source_size > 0")
     counts = cut(sizes.filter("size > 0").groupBy("key", "size").agg(F.sum("rows").alias("rows")))
     scale = counts.groupBy("key").agg((F.sum(F.col("size") * F.col("rows")) / F.sum("rows")).alias("mean"), F.min("size").alias("least"))
@@ -113,6 +118,8 @@ def tilts(sizes: DataFrame, targets: DataFrame, most: int = MOST, rounds: int =
         if (state.agg(F.max("gap")).first()[0] or 0.0) <= close:
             break
         state = state.drop("gap")
+    else:
+        raise RuntimeError(f"tilts did not settle in {rounds} rounds")
     return state.select("key", "mean", "lam")
 
 
@@ -135,11 +142,11 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     base = docs.select(_source_key(source_col).alias("key"), F.col(id_col).cast("long").alias("id"), size_of(text_col).alias("size"))
     items = cut(base.groupBy("key", "id", "size").agg(F.count(F.lit(1)).alias("rows")))
     targets = cut(source_targets(items.select("key", (F.col("size") * F.col("rows")).alias("size")), weights, most))
-    tilt = tilts(items, targets, most)
+    tilt = tilts(items, targets.filter(F.col("target") < F.col("source_size") * float(most)), most)
     parts = items.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("parts"))
     plan = cut(targets.join(tilt, "key", "left").join(parts, "key"))
     top = float(np.log(most))
-    rate = F.when(F.col("size") > 0, F.exp(F.least(F.lit(top), F.col("lam") * F.col("size") / F.col("mean")))).otherwise(0.0)
+    rate = F.when(F.col("size") > 0, F.coalesce(F.exp(F.least(F.lit(top), F.col("lam") * F.col("size") / F.col("mean"))), F.lit(float(most)))).otherwise(0.0)
     block = F.pmod(F.xxhash64("id", "size"), F.col("parts"))
     rated = items.join(small(plan, FEW), "key").select("key", "id", "size", "rows", "source_size", "target", rate.alias("rate"), block.alias("block"))
 
@@ -155,11 +162,12 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
 def mix_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **how) -> DataFrame:
     """The rows of ``docs`` as often as the mix takes them, all columns kept."""
+    key, id_, size, copies, turn = free_name(docs, "mixed_key", "mixed_id", "mixed_size", "mixed_copies", "mixed_turn")
     taken = mix(docs, id_col, text_col, source_col, **how).filter("copies > 0").select(
-        F.col("key").alias("__k"), F.col("id").alias("__i"), F.col("size").alias("__s"), F.col("copies").cast("int").alias("__c")
+        F.col("key").alias(key), F.col("id").alias(id_), F.col("size").alias(size), F.col("copies").cast("int").alias(copies)
     )
-    same = (F.col("__i").eqNullSafe(F.col(id_col).cast("long"))) & (F.col("__k") == _source_key(source_col)) & (F.col("__s") == size_of(text_col))
-    often = docs.join(taken, same).withColumn("__r", F.explode(F.array_repeat(F.lit(0), F.col("__c"))))
+    same = F.col(id_).eqNullSafe(F.col(f"`{id_col}`").cast("long")) & (F.col(key) == _source_key(source_col)) & (F.col(size) == size_of(text_col))
+    often = docs.join(taken, same).withColumn(turn, F.explode(F.array_repeat(F.lit(0), F.col(copies))))
     return often.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 

@@ -64,6 +64,59 @@ def test_tilts_solve_the_constraints(spark):
     assert math.isclose(min(3, math.exp(got["b"].lam * 3 / got["b"].mean)), 3, rel_tol=1e-6)
 
 
+def copies_by_hand(rows, targets):
+    """{(id, text): copies}: bisection for the tilt, then error diffusion from long to short documents."""
+    out = {}
+    for s, target in targets.items():
+        own = sorted({(d, len((t or "").split())) for d, t, x in rows if x == s}, key=lambda r: (-r[1], r[0]))
+        times = {k: sum(1 for d, t, x in rows if x == s and (d, len((t or "").split())) == k) for k in own}
+        total = sum(n * times[d, n] for d, n in own)
+        if not total:
+            out |= dict.fromkeys(((d, n, s) for d, n in own), 0)
+            continue
+        mean = total / sum(c for (d, n), c in times.items() if n)
+        rate = lambda lam, n: min(3.0, math.exp(min(lam * n / mean, 9))) if n else 0.0
+        low, high = -500.0, 500.0
+        for _ in range(200):
+            lam = (low + high) / 2
+            low, high = (lam, high) if sum(rate(lam, n) * n * times[d, n] for d, n in own) < target else (low, lam)
+        missed = 0.0
+        for d, n in own:
+            want, whole = rate(lam, n) * n * times[d, n], n * times[d, n]
+            c = min(3, max(0, round((missed + want) / whole))) if whole else 0
+            if not whole or abs((missed + want) / whole % 1 - 0.5) > 1e-6:  # else either is right
+                out[d, n, s] = c
+            missed += want - whole * c
+    return out
+
+
+def test_copies_by_hand(spark):
+    rng = random.Random(11)
+    rows = make(rng, 400, ["b", "a", None]) + [(900 + i, "x y z", "tiny") for i in range(3)]
+    rows += [(7, "w " * 33, "b"), (7, "w " * 33, "b")]
+    words = {}
+    for _, t, s in rows:
+        words[s] = words.get(s, 0) + len((t or "").split())
+    found = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    got, want = {(r.id, r.size, r.key[1:] or None): r.copies for r in found}, copies_by_hand(rows, shares(words))
+    assert len(want) >= len(got) - 3 and {k: got[k] for k in want} == want
+
+
+def test_hidden_names_and_ids_that_repeat(spark):
+    rows = [(1, "a b c", "s", "k1", 5), (1, "d e f", "s", "k2", 5), (None, "g h", "s", "k3", 5), (None, None, None, "k4", 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, mixed_key string, __k int")
+    found = mixing.mix_documents(docs)
+    assert found.columns == docs.columns
+    assert {r.mixed_key for r in found.collect()} == {"k1", "k2", "k3"}
+
+
+def test_no_convergence_is_said(spark):
+    rows = spark.createDataFrame([("a", 5, 3), ("a", 9, 1)], "key string, size long, rows long")
+    targets = spark.createDataFrame([("a", 24, 31.0)], "key string, source_size long, target double")
+    with pytest.raises(RuntimeError):
+        mixing.tilts(rows, targets, rounds=1)
+
+
 def test_documents_are_repeated_with_all_columns(spark):
     rows = [(i, "w " * (1 + i % 7), "s" if i % 3 else None, "x") for i in range(60)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string, copies string")

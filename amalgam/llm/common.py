@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from amalgam.session import cut, table
 
-__all__ = ["cut", "table", "slices", "map_arrow", "all_of", "components", "free_name", "ceil_div", "small"]
+__all__ = ["cut", "table", "slices", "map_arrow", "all_of", "components", "free_name", "join_counted", "ceil_div", "small"]
 
 #: Bytes of input that one output batch of a Python stage covers at most (one row may be longer).
 BATCH_BYTES = 4 << 20
@@ -58,6 +58,22 @@ def small(df: DataFrame, most_rows: int = 20_000) -> DataFrame:
     return F.broadcast(df) if df.limit(most_rows + 1).count() <= most_rows else df
 
 
+#: A key with more than this share (one in so many) of all rows is hot: there are fewer such keys than this.
+HOT_SHARE = 2000
+
+
+def join_counted(rows: DataFrame, counts: DataFrame, key: str, times: str, total: int) -> DataFrame:
+    """``rows`` joined with ``counts``, which has one row for a ``key`` and in ``times`` how many of the ``total`` rows have it.
+
+    Rows of hot keys stay where they are and meet their count by a broadcast of
+    fewer than ``HOT_SHARE`` rows; all others are shuffled.
+    """
+    hot = F.col(times) * HOT_SHARE > total
+    few = F.broadcast(counts.filter(hot))
+    rest = rows.join(few.select(key), key, "left_anti").join(counts.filter(~hot), key)
+    return rows.join(few, key).unionByName(rest)
+
+
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """Connected components of undirected edges ``(a, b)``: rows ``(node, root)``, root the least node.
 

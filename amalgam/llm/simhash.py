@@ -1,17 +1,17 @@
 """SimHash near-duplicates with pivot distance tables.
 
 Every document gets a 64-bit SimHash of its word shingles. Fingerprints link
-at Hamming distance ``radius`` or less. The index is a table of distances to
-pivots (reference fingerprints):
-
-* *Unit pivots.* The distances to zero and to the 64 one-bit fingerprints,
-  taken relative to each other, are a fingerprint's bits. Two fingerprints at
-  distance 2 or less differ in at most two of these 64 coordinates, so of four
-  groups of 16 coordinates two agree whole. A pair of groups is the join key:
-  six keys of 32 bits for each fingerprint, and no link is missed.
-* *Scattered pivots.* Pairs that meet in a key are discarded if their
-  distances to any of 16 fixed pivots differ by more than the radius (the
-  triangle inequality), and the survivors' distance is verified.
+at Hamming distance ``radius`` or less (:func:`near_duplicates`):
+
+* *Keys.* Two fingerprints at distance 2 or less differ in at most two of four
+  groups of 16 bits, so they agree in one of the six pairs of groups: six keys
+  of 32 bits for each fingerprint, and no link is missed. A table of distances
+  can discard pairs but finds none by itself: a scattered pivot's coordinate
+  alone lets a third of all pairs pass.
+* *Pivot distance table.* The distances to 16 scattered reference fingerprints
+  are precomputed. Pairs that meet in a key are discarded if any of them
+  differs by more than the radius (the triangle inequality), and the
+  survivors' distance is verified.
 
 Keys under which very many different fingerprints meet never have their pairs
 listed: their members emit the 65 points at distance 0 or 1. Two fingerprints
@@ -19,10 +19,15 @@ are at distance 2 or less exactly if they share such a point, so a star from
 each point to its least member gives the same components with rows linear in
 the group.
 
-Defined results: null and empty texts have fingerprint zero and link like any
-other; repeated rows share a fingerprint; a document without doc_id takes its
-group's least doc_id (null if the group has none); an empty table gives no
-rows; other columns are ignored.
+Sets of five-word shingles that are similar by 0.8 or more have fingerprints 10
+bits apart on average; at such a radius pivots discard nothing and keys of
+equal bits miss most. :func:`keep_one` therefore meets them under min-wise keys
+of the sets, discards by the fingerprints and decides by the sets themselves.
+
+Defined results: null and empty texts have fingerprint zero, no shingles, and
+link like any other; repeated rows share a fingerprint; a document without
+doc_id takes its group's least doc_id (null if the group has none); an empty
+table gives no rows; other columns are ignored (:func:`keep_one` keeps them).
 """
 
 from __future__ import annotations
@@ -32,10 +37,10 @@ from itertools import repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from amalgam.llm.common import all_of, components, cut, map_arrow
+from amalgam.llm.common import all_of, components, cut, free_name, join_counted, map_arrow, small
 
 SEED = 42
 BITS = 64
@@ -43,18 +48,27 @@ GROUP = 16
 #: Members of a key up to which its pairs are compared one by one.
 PAIRWISE = 48
 PIVOTS = 16
+#: Bands and least values in each of the keys under which similar sets meet: of pairs with a similarity of 0.8, three in a million miss all.
+BANDS, ROWS = 24, 4
+#: Classes that share a key up to which all pairs are listed, and leaders that each is compared with beyond.
+CROWD, LEADERS = 48, 4
+#: Different bits beyond which sets are not compared: similarity 0.8 makes 10 on average, with a deviation of 3; unrelated sets 32.
+APART = 24
+#: Pairs of a class that are decided in one task.
+PART = 256
 
 
-def simhash(text: bytes | None, words: int = 3) -> int:
-    """The fingerprint of one text as an unsigned integer."""
+def shingles(text: bytes | None, words: int = 3) -> np.ndarray:
+    """The hashes of a text's word shingles, repeats included."""
     tokens = (text or b"").lower().split()
     if not tokens:
-        return 0
-    if len(tokens) < words:
-        shingles = [b" ".join(tokens)]
-    else:
-        shingles = map(b" ".join, zip(*(tokens[i:] for i in range(words)), strict=False))
-    hashes = np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(SEED)), np.uint64)
+        return np.zeros(0, np.uint64)
+    found = [b" ".join(tokens)] if len(tokens) < words else map(b" ".join, zip(*(tokens[i:] for i in range(words)), strict=False))
+    return np.fromiter(map(xxhash.xxh64_intdigest, found, repeat(SEED)), np.uint64)
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits that are set in over half of the hashes, as an unsigned integer; zero if there are none."""
     ones = np.zeros(BITS, np.int64)
     for at in range(0, len(hashes), 8192):
         part = hashes[at : at + 8192]
@@ -62,6 +76,11 @@ def simhash(text: bytes | None, words: int = 3) -> int:
     return int(np.packbits(ones * 2 > len(hashes), bitorder="little").view(np.uint64)[0])
 
 
+def simhash(text: bytes | None, words: int = 3) -> int:
+    """The fingerprint of one text as an unsigned integer."""
+    return majority(shingles(text, words))
+
+
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3) -> DataFrame:
     """(id, fp): the signed 64-bit SimHash of every row."""
 
@@ -108,8 +127,8 @@ def links(nodes: DataFrame, radius: int = 2, pairwise: int = PAIRWISE) -> DataFr
     if not 0 <= radius <= 2:
         raise ValueError("the key layout holds for a radius of 2 at most")
     keyed = nodes.select("fp", F.explode(_keys(F.col("fp"))).alias("key"))
-    sizes = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    members = cut(keyed.join(sizes, "key"))
+    sizes = cut(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
+    members = cut(join_counted(keyed, sizes, "key", "n", 6 * nodes.count()))
     table = members.filter(F.col("n") <= pairwise).select("key", "fp", distance_table(F.col("fp")).alias("d"))
     a, b = table.alias("a"), table.alias("b")
     close = [F.abs(F.col("a.d")[j] - F.col("b.d")[j]) <= radius for j in range(PIVOTS)]
@@ -142,13 +161,119 @@ def near_duplicates(
     return prints.join(rooted.join(lows, "root").select("fp", "component"), "fp").select("id", "fp", "component")
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, radius: int = 2) -> DataFrame:
-    """The rows of ``docs`` less all but one document of each near-duplicate group.
+def _sets(part: pa.RecordBatch, words: int) -> list[np.ndarray]:
+    """The distinct shingle hashes of each text in column ``bytes``, sorted."""
+    return [np.unique(shingles(x, words)) for x in part.column(part.schema.get_field_index("bytes")).to_pylist()]
+
+
+def _spread(count: int) -> np.ndarray:
+    """Fixed odd numbers."""
+    return np.array([xxhash.xxh64_intdigest(b"row %d" % i, SEED) | 1 for i in range(count)], np.uint64)
+
+
+def band_keys(hashes: np.ndarray) -> np.ndarray:
+    """A key for each of ``BANDS`` bands: the least values of the set under ``ROWS`` permutations."""
+    odd, least = _spread(BANDS * ROWS), np.full(BANDS * ROWS, 2**64 - 1, np.uint64)
+    for at in range(0, len(hashes), 4096):
+        np.minimum(least, ((hashes[at : at + 4096, None]) * odd).min(axis=0), out=least)
+    keys = (least.reshape(BANDS, ROWS) * _spread(ROWS)).sum(axis=1, dtype=np.uint64)
+    return (keys ^ (keys >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + np.arange(BANDS, dtype=np.uint64)
+
+
+def profiles(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
+    """(id, key, cls, n, fp, bands) of every row: ``key`` tells its id and text, ``cls`` its set of shingles, of n."""
+
+    def batch(part: pa.RecordBatch) -> dict:
+        sets = _sets(part, words)
+        bands = np.concatenate([band_keys(x) for x in sets]).view(np.int64) if sets else np.zeros(0, np.int64)
+        return {
+            "id": part.column(0), "key": part.column(1), "cls": pa.array([xxhash.xxh3_128_hexdigest(x.tobytes()) for x in sets], pa.string()),
+            "n": pa.array([len(x) for x in sets], pa.int32()), "fp": pa.array(np.array([majority(x) for x in sets], np.uint64).view(np.int64)),
+            "bands": pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1, dtype=np.int32) * BANDS), pa.array(bands)),
+        }
+
+    rows = _keyed(docs, id_col, text_col)
+    return map_arrow(rows, batch, "id long, key long, cls string, n int, fp long, bands array<long>", by="bytes")
+
+
+def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    id_, text = F.col(f"`{id_col}`").cast("long"), F.col(f"`{text_col}`")
+    return docs.select(id_.alias("id"), F.xxhash64(id_, text).alias("key"), text.cast("binary").alias("bytes"))
+
+
+def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8) -> DataFrame:
+    """(id, key, root): the rows' groups over links of ``similarity`` or more between their sets of shingles.
+
+    Equal sets are one class. Classes that share a band key are compared: all
+    pairs where up to ``CROWD`` share it; in a crowded key first each with
+    ``LEADERS`` leaders, then, since most are in one group by now, all that are
+    not with all of the key. So no pair of two groups that meets in a key is
+    left out, and none inside one group need be listed. A pair is discarded by
+    sizes and by more than ``APART`` different bits of the fingerprints; the
+    rest are decided by the exact similarity of their sets.
+    """
+    rows = cut(profiles(docs, id_col, text_col, words))
+    classes = cut(rows.groupBy("cls").agg(F.min("key").alias("key"), F.first("n").alias("n"), F.first("fp").alias("fp"), F.first("bands").alias("bands")))
+    spread = classes.select("cls", "n", "fp", F.explode("bands").alias("band"))
+    shared = spread.groupBy("band").agg(F.count(F.lit(1)).alias("times")).filter("times > 1")
+    members = cut(join_counted(spread, cut(shared), "band", "times", BANDS * classes.count()))
+    few, crowded = members.filter(F.col("times") <= CROWD), members.filter(F.col("times") > CROWD)
+    a, b = few.alias("a"), few.alias("b").select(*[F.col(c).alias(f"{c}2") for c in few.columns])
+    near = (F.least("n", "n2") / F.greatest("n", "n2", F.lit(1)) >= similarity) & (F.bit_count(F.col("fp").bitwiseXOR(F.col("fp2"))) <= APART)
+    pairs = a.join(b, (F.col("band") == F.col("band2")) & (F.col("cls") < F.col("cls2")) & near).select(F.col("cls").alias("a"), F.col("cls2").alias("b"))
+    order = Window.partitionBy("band").orderBy(F.xxhash64("cls"), "cls")
+    leaders = cut(crowded.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= LEADERS).select(*[F.col(c).alias(f"{c}2") for c in few.columns]))
+    ordered = [F.least("cls", "cls2").alias("a"), F.greatest("cls", "cls2").alias("b")]
+    led = crowded.join(small(leaders), (F.col("band") == F.col("band2")) & (F.col("cls") != F.col("cls2")) & near).select(*ordered)
+    edges = _verified(docs, classes, pairs.unionAll(led), id_col, text_col, words, similarity)
+    found = components(edges)
+    if leaders.limit(1).count():
+        placed = cut(crowded.join(found, F.col("cls") == F.col("node"), "left").withColumn("group", F.coalesce("root", "cls")).drop("node", "root"))
+        sizes = placed.groupBy("band", "group").agg(F.count(F.lit(1)).alias("n"))
+        main = sizes.groupBy("band").agg(F.max_by("group", F.struct("n", "group")).alias("main"))
+        apart = cut(placed.join(small(cut(main)), "band").filter("group != main").drop("main"))
+        other = apart.select(*[F.col(c).alias(f"{c}2") for c in placed.columns])
+        late = placed.join(small(other), (F.col("band") == F.col("band2")) & (F.col("group") != F.col("group2")) & near).select(*ordered)
+        more = _verified(docs, classes, late, id_col, text_col, words, similarity)
+        if more.limit(1).count():
+            found = components(edges.unionAll(more))
+    named = rows.select("id", "key", "cls").join(found, F.col("cls") == F.col("node"), "left")
+    return named.select("id", "key", F.coalesce("root", "cls").alias("root"))
+
+
+def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, id_col: str, text_col: str, words: int, similarity: float) -> DataFrame:
+    """The pairs (a, b) of classes whose sets have the similarity, a set of shingles read once for each class asked for."""
+    pairs = cut(pairs.distinct())
+    asked = pairs.selectExpr("a as cls").unionAll(pairs.selectExpr("b as cls")).distinct()
+    keys = cut(classes.select("cls", "key").join(asked, "cls").select("key"))
+
+    def batch(part: pa.RecordBatch) -> dict:
+        sets = _sets(part, words)
+        at = np.cumsum([0, *map(len, sets)]).astype(np.int32)
+        values = np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)
+        return {"cls": pa.array([xxhash.xxh3_128_hexdigest(x.tobytes()) for x in sets], pa.string()), "hashes": pa.ListArray.from_arrays(pa.array(at), pa.array(values))}
+
+    texts = _keyed(docs, id_col, text_col).join(small(keys), "key", "left_semi").select("key", "bytes")
+    sets = cut(map_arrow(texts, batch, "cls string, hashes array<long>", by="bytes").dropDuplicates(["cls"]))
+    # a class in very many pairs is dealt over parts
+    parts = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / PART).cast("int").alias("parts"))
+    first = sets.join(parts, F.col("cls") == F.col("a")).select("a", F.col("hashes").alias("x"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    dealt = join_counted(pairs, parts.withColumn("times", F.col("parts") * PART), "a", "times", pairs.count()).select("a", "b", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part"))
+    both = dealt.join(sets.select(F.col("cls").alias("b"), F.col("hashes").alias("y")), "b").join(first, ["a", "part"])
+    common = F.size(F.array_intersect("x", "y"))
+    return cut(both.filter(common / (F.size("x") + F.size("y") - common) >= similarity).select("a", "b"))
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8) -> DataFrame:
+    """The rows of ``docs`` less all but one document of each group of :func:`similar_groups`.
 
-    The document with the least id stays, once if its row is repeated. Rows
-    without an id cannot be told apart and stay.
+    The document with the least id stays (of equal ids the text that hashes
+    lowest; one without an id only if none has one), once if its row is
+    repeated. Different texts of one id are different documents.
     """
-    found = near_duplicates(docs, id_col, text_col, words, radius)
-    stay = found.filter("id = component").select(F.col("id").alias("__kept")).distinct()
-    named = docs.filter(F.col(id_col).isNotNull()).join(stay, F.col(id_col).cast("long") == F.col("__kept"), "left_semi")
-    return named.dropDuplicates([id_col]).unionAll(docs.filter(F.col(id_col).isNull()))
+    found = similar_groups(docs, id_col, text_col, words, similarity)
+    stay = found.groupBy("root").agg(F.min(F.struct(F.col("id").isNull(), "id", "key")).alias("least")).select(F.col("least.key").alias("stay"))
+    (own,) = free_name(docs, "row_key")
+    keyed = docs.withColumn(own, F.xxhash64(F.col(f"`{id_col}`").cast("long"), F.col(f"`{text_col}`")))
+    kept = keyed.join(stay.distinct(), F.col(own) == F.col("stay"), "left_semi").dropDuplicates([own])
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -60,9 +60,6 @@ def test_documents_components(spark):
     items = [(d, brute(t)) for d, t, _ in rows]
     want = {(d, f): c for (d, f), c in zip(items, classes(items), strict=True)}
     assert got == want
-    kept = simhash.keep_one(docs)
-    assert kept.columns == docs.columns
-    assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == sorted({c for c in want.values() if c is not None})
 
 
 def test_crowded_keys_give_the_same_components(spark):
@@ -84,7 +81,61 @@ def test_crowded_keys_give_the_same_components(spark):
         assert sorted(r["count"] for r in got) == sorted(n for n in sizes.values() if n > 1)
 
 
+def sets_of(text, words=5):
+    tokens = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in (text or "")).split()
+    return frozenset(" ".join(tokens[i : i + words]) for i in range(max(1, len(tokens) - words + 1))) if tokens else frozenset()
+
+
+def kept_by_hand(rows, similarity=0.8):
+    """The (id, text) that stay: one of each group over all pairs of sets."""
+    rows = sorted(set(rows), key=lambda r: (r[0] is None, r[0] or 0))
+    sets, root = [sets_of(t) for _, t in rows], list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if sets[i] == sets[j] or len(sets[i] & sets[j]) / len(sets[i] | sets[j]) >= similarity:
+                low, high = sorted((find(i), find(j)))
+                root[high] = low
+    return [rows[i] for i in range(len(rows)) if root[i] == i]
+
+
+def edited(rng, tokens, vocab, times):
+    out = list(tokens)
+    for _ in range(times):
+        out[rng.randrange(len(out))] = rng.choice(vocab)
+    return out
+
+
+def test_keep_one_of_similar_texts(spark, monkeypatch):
+    rng = random.Random(12)
+    vocab = [f"w{i}" for i in range(900)]
+    rows, k = [], 0
+    for _ in range(40):
+        base = [rng.choice(vocab) for _ in range(rng.choice([1, 4, 30, 120, 400]))]
+        for _ in range(rng.randint(1, 4)):
+            rows.append((k, " ".join(edited(rng, base, vocab, rng.randint(0, 3)))))
+            k += 1
+    hot = [rng.choice(vocab) for _ in range(260)]
+    rows += [(k + i, " ".join(edited(rng, hot, vocab, 1 + i % 3))) for i in range(90)]
+    rows += [(5000, None), (5001, ""), (None, "without an id"), (None, "without an id either, quite another text"), (3, "a second text of that id"), (7, rows[9][1])]
+    docs = spark.createDataFrame([(d, t, "x", 1) for d, t in [*rows, rows[2], rows[3]]], "doc_id long, text string, cls string, row_key int")
+    want = {(d, t) for d, t in kept_by_hand(rows)}
+    assert len(want) < len(set(rows)) - 80
+    for crowd in (48, 6):
+        monkeypatch.setattr(simhash, "CROWD", crowd)
+        kept = simhash.keep_one(docs.repartition(5))
+        assert kept.columns == docs.columns
+        got = kept.collect()
+        assert {(r.doc_id, r.text) for r in got} == want and len(got) == len(want)
+
+
 def test_empty(spark):
+    assert simhash.keep_one(spark.createDataFrame([], "doc_id long, text string")).count() == 0
     assert simhash.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
     one = spark.createDataFrame([(1, None)], "doc_id long, text string")
     assert simhash.near_duplicates(one).filter(F.col("fp") == 0).count() == 1

@@ -1,5 +1,7 @@
 import html
+import random
 import re
+import time
 
 import pytest
 
@@ -22,6 +24,16 @@ from amalgam.llm import htmltext, queries
         ("<article><p>unclosed <b>bold<p>next &lt;tag&gt; 1 < 2", "unclosed bold next <tag> 1 < 2"),
         ('<article><p title="a>b">x</p></article>', "x"),
         ("<article><p class='ad'>buy<p>one <span class='promo'>no <span>way</span></span>two<h2 class=notice>cookies</h2><div data-url='?id=menu'>kept</div></article>", "one two kept"),
+        ("<article><p>Hello there.</p><datalist><option>a</datalist><p>More of it.</article>", "Hello there. More of it."),
+        ("<article><p>a <button>press<p>b</article><div><p>c</div>", "a press b"),
+        ("<article><p>a <button><div>press</div></button>b</p><select><option>x<option>y</select><p>c</p></article>", "a b c"),
+        ("<article><select><option>x</article>", ""),
+        ('<article><p title=5">second</p><p title="a=b>c">third</p></article>', "second third"),
+        ("<article><p class='comment-on-law'>law</p><div id='menu-items'><p>soup</p></div><p class='comment-list'>no</p><p class='adBanner'>no</p></article>", "law soup"),
+        ("<article><p>1 < 2 and 3 > 2, </ and <3</p><svg><title>t</title><path/></svg><p>x<svg/>y</p></article>", "1 < 2 and 3 > 2, </ and <3 xy"),
+        ("<article><p>text</p><script>never(", "text"),
+        ("<head><title>t</title><body><article>x", "x"),
+        ("<p>a</p><!-- <p>b</p>", "a"),
         ("<article><section class='related-links'><p>more</p></section><p>a<br>b</p><ul><li>c<li>d</ul></article><section id=comments><p>hi</p></section>", "a b c d"),
     ],
 )
@@ -44,6 +56,37 @@ def test_short_sections_of_a_page_without_article():
     assert htmltext.main_text(page) == " ".join([long.strip(), tiny, short, long.strip(), short + " too"])
 
 
+def by_windows(lengths, window, surge):
+    """Lines to keep: each stretch of lines no ``window`` zeros apart, from the first to the last one with a sum above ``surge``."""
+    runs = []
+    for i, n in enumerate(lengths):
+        if n and runs and i - runs[-1][1] < window:
+            runs[-1][1] = i + 1
+        elif n:
+            runs.append([i, i + 1])
+    tops = [max(sum(lengths[i : i + window]) for i in range(max(0, a - window + 1), b)) for a, b in runs]
+    up = [k for k, t in enumerate(tops) if t > surge]
+    return [tuple(r) for r in (runs[up[0] : up[-1] + 1] if up else runs)]
+
+
+def test_stretches_by_windows():
+    rng = random.Random(1)
+    for _ in range(3000):
+        lengths = [rng.choice([0, 0, 0, 1, 5, 60]) for _ in range(rng.randrange(20))]
+        window, surge = rng.randint(1, 4), rng.choice([0, 4, 50, 90])
+        assert htmltext.stretches(lengths, window, surge) == by_windows(lengths, window, surge), (lengths, window, surge)
+
+
+@pytest.mark.parametrize("page", [
+    "<a " * 50_000, "<a " * 50_000 + ">", "<" * 200_000, "<div>" * 40_000 + "x" + "</div>" * 40_000, "</section>" * 40_000, "<div><p class='ad'>" * 20_000, "<!--" * 50_000,
+    "<option>" * 40_000, "<button>" * 40_000, "<a x='" * 30_000, '<a x="' * 30_001 + "'", "&amp" * 60_000, "<script>" * 40_000, "<ul><li>" * 30_000 + "</section>" * 30_000, "<p>" + "word " * 400_000,
+])
+def test_hostile_and_long_pages(page):
+    start = time.perf_counter()
+    htmltext.main_text(page)
+    assert time.perf_counter() - start < 3
+
+
 def test_stretches():
     assert htmltext.stretches([0, 0, 5, 0, 5, 0, 0, 0, 0, 7]) == [(2, 5), (9, 10)]
     assert htmltext.stretches([1, 0, 0, 0, 9, 9], surge=5) == [(4, 6)]
@@ -59,6 +102,7 @@ def test_real_pages_keep_the_article(spark):
         inner = re.search(r"<article>(.*?)(?:</article>|\Z)", source[r.page_id], re.S)[1]
         want = " ".join(html.unescape(re.sub(r"<(?!/?b>)[^>]*>", " ", inner).replace("<b>", "").replace("</b>", "")).split())
         assert r.text == want and r.n_chars == len(want)
+        assert htmltext.main_text(re.sub(r"(</?)(article|main)\b", r"\1div", source[r.page_id])) == want
 
 
 def test_table(spark):

@@ -77,9 +77,11 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    words = cut(secretscan.dictionary(docs))
+    candidates = cut(secretscan.candidates(docs, path_col="source"))
+    asked = candidates.select("candidate").unionAll(secretscan.all_findings(spark).select("candidate")).select(F.explode(secretscan.words_in(F.col("candidate"))).alias("word"))
+    words = cut(secretscan.dictionary(docs, asked=asked))
     model = secretscan.train(secretscan.training(spark, words))
-    found = secretscan.scan(docs, model, words)
+    found = secretscan.score(candidates, model, words)
     return found.filter("probability >= 0.5").select(
         F.col("id").alias("doc_id"),
         "nth",

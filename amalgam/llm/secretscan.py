@@ -12,8 +12,8 @@ hashes in version histories, identifiers, placeholders).
 Labelled findings are a table (before, candidate, after, label) of at most
 ``most_findings`` rows. :func:`made_findings` derives one from the formats of
 keys and of their usual look-alikes, the same on every run. The dictionary is
-the words that ``common`` documents or more contain; only the words inside
-candidates are joined with it.
+the words that ``common`` documents or more contain; it is counted over all
+documents, but only for the words inside candidates.
 
 Defined results: a null or empty text has no findings; a repeated row has its
 findings again; equal candidates of a text are separate findings, numbered from
@@ -32,6 +32,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from amalgam.llm.common import cut, small
+
 #: A name that holds a secret word, up to its = or : and an opening quote; behind it any run without spaces and quotes is a candidate.
 KEYED = (
     r"(?<=[=:][\s\"'`]{0,3})(?<![\w$!@#%&*+./~^-])(?<=(?i:passw(?:or)?d|passphrase|pwd|pass|secret|token|api[ _-]?key|(?:access|private|client|session|aws|auth|secret)[ _-]?key|auth|authorization|credentials?)"
@@ -42,6 +44,8 @@ RUN = "(?<![A-Za-z0-9+/_-])"
 #: Known beginnings of keys; these need neither digit nor length.
 PREFIXED = RUN + "(?:A(?:KI|SI)A|gh[opsur]_|github_pat_|glpat-|[sr]k_live_|xox[abprs]-|AIza)[A-Za-z0-9+/_-]+={0,2}"
 CANDIDATE = f"{KEYED}{VALUE}|{PREFIXED}|{RUN}(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{{12,}}={{0,2}}"
+#: Sets candidates off in their text; a character that Unicode keeps out of texts, and that counts as U+FFFD if one has it.
+MARK = "\ufdd0"
 #: Characters of context that are looked at on either side.
 CONTEXT = 48
 
@@ -60,27 +64,34 @@ def context_words(text: Column) -> Column:
 
 
 def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = None) -> DataFrame:
-    """(id, path, nth, candidate, before, after) of every run of key-like characters."""
-    text = F.col(text_col)
-    path = F.col(path_col).cast("string") if path_col else F.lit(None).cast("string")
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), path.alias("path"), text.alias("text")).filter(F.col("text").rlike(CANDIDATE))
-    cut = rows.select("id", "path", F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0)).alias("found"), F.split("text", CANDIDATE).alias("between"))
+    """(id, path, nth, candidate, before, after) of every candidate: each text is matched once, candidates set off by ``MARK``."""
+    path = F.col(f"`{path_col}`").cast("string") if path_col else F.lit(None).cast("string")
+    marked = F.regexp_replace(F.translate(F.col(f"`{text_col}`"), MARK, "\ufffd"), f"({CANDIDATE})", f"{MARK}$1{MARK}")
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), path.alias("path"), marked.alias("marked")).filter(F.contains("marked", F.lit(MARK)))
+    parts = rows.select("id", "path", F.split("marked", MARK).alias("parts"))
     each = F.transform(
-        F.col("found"),
-        lambda c, i: F.struct(c.alias("candidate"), F.right(F.get("between", i), F.lit(CONTEXT)).alias("before"), F.left(F.get("between", i + 1), F.lit(CONTEXT)).alias("after")),
+        F.sequence(F.lit(1), F.size("parts") - 2, F.lit(2)),
+        lambda i: F.struct(F.get("parts", i).alias("candidate"), F.right(F.get("parts", i - 1), F.lit(CONTEXT)).alias("before"), F.left(F.get("parts", i + 1), F.lit(CONTEXT)).alias("after")),
     )
-    return cut.select("id", "path", F.posexplode(each).alias("nth", "c")).select("id", "path", F.col("nth").cast("long"), "c.candidate", "c.before", "c.after")
+    return parts.select("id", "path", F.posexplode(each).alias("nth", "c")).select("id", "path", F.col("nth").cast("long"), "c.candidate", "c.before", "c.after")
+
+
+def words_in(text: Column) -> Column:
+    """The runs of four ASCII letters or more, lower-cased."""
+    return F.regexp_extract_all(F.lower(text), F.lit("[a-z]{4,}"), F.lit(0))
 
 
-def dictionary(docs: DataFrame, text_col: str = "text", common: int = 5) -> DataFrame:
-    """(word): runs of four ASCII letters or more, lower-cased, that ``common`` documents contain."""
-    words = F.array_distinct(F.regexp_extract_all(F.lower(F.col(text_col)), F.lit("[a-z]{4,}"), F.lit(0)))
-    return docs.select(F.explode(words).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= common).select("word")
+def dictionary(docs: DataFrame, text_col: str = "text", common: int = 5, asked: DataFrame | None = None) -> DataFrame:
+    """(word): the words that ``common`` documents of all contain; with ``asked`` (word), only those of them."""
+    words = docs.select(F.explode(F.array_distinct(words_in(F.col(text_col)))).alias("word"))
+    if asked is not None:
+        words = words.join(small(asked.select("word").distinct()), "word", "left_semi")
+    return words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= common).select("word")
 
 
 def covered(found: DataFrame, words: DataFrame) -> DataFrame:
     """(candidate, coverage): share of each distinct candidate's characters inside dictionary words."""
-    runs = found.select("candidate").distinct().select("candidate", F.explode_outer(F.regexp_extract_all(F.lower("candidate"), F.lit("[a-z]{4,}"), F.lit(0))).alias("word"))
+    runs = found.select("candidate").distinct().select("candidate", F.explode_outer(words_in(F.col("candidate"))).alias("word"))
     known = runs.select("word").filter("word is not null").distinct().join(words, "word", "left_semi").withColumn("known", F.lit(1))
     share = F.sum(F.when(F.col("known") == 1, F.length("word")).otherwise(0)) / F.first(F.length("candidate"))
     return runs.join(known, "word", "left").groupBy("candidate").agg(share.alias("coverage"))
@@ -226,21 +237,27 @@ def keyed_findings(spark: SparkSession, each: int = 250) -> DataFrame:
     return reduce(DataFrame.unionAll, parts).coalesce(1)
 
 
-def training(spark: SparkSession, words: DataFrame, each: int = 250) -> DataFrame:
-    """The made, worded and keyed findings with the coverage by ``words`` and by ``WORDS``, which any dictionary is taken to hold."""
+def all_findings(spark: SparkSession, each: int = 250) -> DataFrame:
+    """The made, worded and keyed findings (before, candidate, after, label, path)."""
     placeless = made_findings(spark, each).unionAll(keyed_findings(spark, each)).withColumn("path", F.lit(None).cast("string"))
-    found = placeless.unionByName(worded_findings(spark, each))
+    return placeless.unionByName(worded_findings(spark, each))
+
+
+def training(spark: SparkSession, words: DataFrame, each: int = 250) -> DataFrame:
+    """:func:`all_findings` with the coverage by ``words`` and by ``WORDS``, which any dictionary is taken to hold."""
+    found = all_findings(spark, each)
     known = words.unionAll(spark.createDataFrame([(w,) for w in WORDS], "word string"))
     return found.join(covered(found, known), "candidate", "left")
 
 
 def train(findings: DataFrame, trees: int = 40, depth: int = 8, most_findings: int = 20_000, seed: int = 7) -> PipelineModel:
     """A forest from labelled findings, the first ``most_findings`` of them by content."""
-    bounded = findings.orderBy(F.xxhash64("before", "candidate", "after"), "candidate").limit(most_findings)
     if "coverage" not in findings.columns:
-        bounded = bounded.withColumn("coverage", F.lit(0.0))
+        findings = findings.withColumn("coverage", F.lit(0.0))
     if "path" not in findings.columns:
-        bounded = bounded.withColumn("path", F.lit(None).cast("string"))
+        findings = findings.withColumn("path", F.lit(None).cast("string"))
+    total = ["before", "candidate", "after", "path", "label", "coverage"]
+    bounded = findings.orderBy(F.xxhash64(*total), *total).limit(most_findings)
     rows = features(bounded).coalesce(1)
     assembler = VectorAssembler(inputCols=FEATURES, outputCol="features")
     forest = RandomForestClassifier(featuresCol="features", labelCol="label", numTrees=trees, maxDepth=depth, seed=seed)
@@ -248,9 +265,13 @@ def train(findings: DataFrame, trees: int = 40, depth: int = 8, most_findings: i
     return PipelineModel([assembler, model])
 
 
-def scan(docs: DataFrame, model: PipelineModel, words: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = None) -> DataFrame:
-    """(id, nth, candidate, before, after, probability) of every candidate; half or more means a secret."""
-    found = candidates(docs, id_col, text_col, path_col)
+def score(found: DataFrame, model: PipelineModel, words: DataFrame) -> DataFrame:
+    """(id, nth, candidate, before, after, probability) of candidates; half or more means a secret."""
     described = features(found.join(covered(found, words), "candidate", "left"))
     scored = model.transform(described)
     return scored.select("id", "nth", "candidate", "before", "after", F.get(vector_to_array("probability"), F.lit(1)).alias("probability"))
+
+
+def scan(docs: DataFrame, model: PipelineModel, words: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = None) -> DataFrame:
+    """:func:`score` of the candidates of ``docs``, which are written down so that texts are matched once."""
+    return score(cut(candidates(docs, id_col, text_col, path_col)), model, words)

@@ -42,8 +42,8 @@ def changes(current: DataFrame, previous: DataFrame, key: str, tracked: list[str
         return plain
 
     def lonely(which: str, p: str) -> DataFrame:
-        alone = F.count(F.lit(1)).over(Window.partitionBy(*[f"{p}{c}" for c in content]))
-        return tagged.filter(F.col("category") == which).withColumn("__n", alone).filter("__n = 1").select("id", *[F.col(f"{p}{c}") for c in content])
+        kinds = tagged.filter(F.col("category") == which).groupBy(*[f"{p}{c}" for c in content])
+        return kinds.agg(F.count(F.lit(1)).alias("__n"), F.min("id").alias("id")).filter("__n = 1").drop("__n")
 
     n, d = lonely("new", "c_"), lonely("deleted", "p_").withColumnRenamed("id", "old_id")
     same = F.lit(True)

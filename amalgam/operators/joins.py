@@ -79,6 +79,30 @@ def keep_known(rows: DataFrame, id_col: str, known: DataFrame, known_key: str) -
     return rows.join(have, id_col, "left").withColumn(id_col, F.when(F.col("__known"), F.col(id_col))).select(*rows.columns)
 
 
+def polish_ids(rows: DataFrame, id_col: str, name: str, source: DataFrame, source_id: str = "id_raw", source_name: str = "name_clean", status: str | None = None, former: str | None = None) -> DataFrame:
+    """The ids of one source in accepted rows, made current; other rows stay as they are.
+
+    In this order: ids that ``former`` lists as merged into another become that
+    one; ids that the source lacks become null; with ``status``, ids of a row
+    that is not accepted give way to the least accepted id of that row's name;
+    missing ids are filled by name, from accepted rows first, then synonyms.
+    """
+    open_, rest = rows.filter("accepted"), rows.filter("not accepted or accepted is null")
+    if former:
+        open_ = redirect(open_, id_col, source.filter(F.col(former).isNotNull()), source_id, former)
+    open_ = keep_known(open_, id_col, source, source_id)
+    place = F.lit(0)
+    if status:
+        current = source.filter(F.col(status) == "accepted").groupBy(F.col(source_name).alias("__name")).agg(F.min(source_id).alias("__to"))
+        stale = source.filter(F.col(status).isNotNull() & (F.col(status) != "accepted")).groupBy(F.col(source_id).alias(id_col)).agg(F.min(source_name).alias("__name"))
+        swaps = stale.join(current, "__name").select(id_col, "__to")
+        open_ = open_.join(swaps, id_col, "left").withColumn(id_col, F.coalesce("__to", id_col)).drop("__to").select(*rows.columns)
+        place = F.when(F.col(status) == "accepted", 0).when(F.col(status) == "synonym", 1).otherwise(2)
+    named = source.filter(F.col(source_name).isNotNull()).groupBy(F.col(source_name).alias(name)).agg(F.min(F.struct(place.alias("place"), F.col(source_id).alias("id"))).alias("__best"))
+    filled = open_.join(named, name, "left").withColumn(id_col, F.coalesce(F.col(id_col), F.col("__best.id"))).select(*rows.columns)
+    return filled.unionByName(rest)
+
+
 def upsert(base: DataFrame, delta: DataFrame, key: str) -> DataFrame:
     """``base`` with the rows of ``delta`` in place of those with its keys."""
     return base.join(delta.select(key).distinct(), key, "left_anti").unionByName(delta)

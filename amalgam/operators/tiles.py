@@ -106,11 +106,53 @@ def exact_over_derived(exact: DataFrame, derived: DataFrame, key: str, value: st
     return exact.withColumnRenamed(value, "__e").join(derived.withColumnRenamed(value, "__d"), key, "full").select(key, F.coalesce("__e", "__d").alias(value))
 
 
-def package(tiles: DataFrame, key: str, few: int = 20) -> DataFrame:
-    """(key, habitat JSON, max, avg, observations): tiles of fewer than ``few`` points last, then densest first."""
+def raw_rollup(points: DataFrame, edges: DataFrame, key: str, ranks: list[str], parent: str = "parent", rank: str = "parent_rank", levels: int = 20) -> DataFrame:
+    """``points`` of every node and of all its descendants below parents of ``ranks``, with a column count.
+
+    Rows are points, not lists of them: equal ones of a node are counted first,
+    and each level moves the counted rows to their parents. RuntimeError if
+    ``levels`` were too few, as in a circle of edges.
+    """
+    place = [c for c in points.columns if c != key]
+    up = edges.filter(F.col(rank).isin(ranks) & F.col(parent).isNotNull()).select(F.col(key), F.col(parent).alias("__up")).distinct()
+    front = cut(points.groupBy(key, *place).agg(F.count(F.lit(1)).alias("count")))
+    found = front
+    for _ in range(levels):
+        front = cut(front.join(up, key).groupBy(F.col("__up").alias(key), *place).agg(F.sum("count").alias("count")))
+        if front.isEmpty():
+            return found.groupBy(key, *place).agg(F.sum("count").alias("count"))
+        found = found.unionByName(front)
+    raise RuntimeError(f"points still move after {levels} levels")
+
+
+def package(tiles: DataFrame, key: str, few: int = 20, centroids: DataFrame | None = None, bins: DataFrame | None = None, medians: DataFrame | None = None) -> DataFrame:
+    """(key, habitat JSON, max, avg, observations, and what is given of centroids JSON, elevation, elevation_profile JSON).
+
+    Tiles of fewer than ``few`` points come last, the densest first. ``centroids``
+    (key, lng, lat) become distinct pairs of four digits, ``bins`` (key, bin,
+    count) a profile by height, ``medians`` (key, median) the elevation.
+    """
     order = F.struct((F.col("count") < few).alias("few"), (-F.col("count")).alias("n"), F.col("tile_id"), F.col("center_lng").alias("lng"), F.col("center_lat").alias("lat"))
     items = F.transform(F.sort_array(F.collect_list(order)), lambda t: F.struct(t["lng"].alias("lng"), t["lat"].alias("lat"), (-t["n"]).alias("occ")))
-    return tiles.groupBy(key).agg(F.to_json(items).alias("habitat"), F.max("count").alias("max"), F.avg("count").alias("avg"), F.sum("count").alias("observations"))
+    out = tiles.groupBy(key).agg(F.to_json(items).alias("habitat"), F.max("count").alias("max"), F.avg("count").alias("avg"), F.sum("count").alias("observations"))
+    if centroids is not None:
+        pair = F.array(F.col("lng").cast("decimal(8,4)"), F.col("lat").cast("decimal(8,4)"))
+        out = out.join(centroids.groupBy(key).agg(F.to_json(F.sort_array(F.collect_set(pair))).alias("centroids")), key, "left")
+    if medians is not None:
+        out = out.join(medians.select(key, F.col("median").cast("short").alias("elevation")), key, "left")
+    if bins is not None:
+        steps = F.transform(F.sort_array(F.collect_list(F.struct("bin", "count"))), lambda b: F.struct(b["bin"].alias("elevation"), b["count"].alias("occ")))
+        out = out.join(bins.groupBy(key).agg(F.to_json(steps).alias("elevation_profile")), key, "left")
+    return out
+
+
+def with_geo(rows: DataFrame, packaged: DataFrame, key: str) -> DataFrame:
+    """``rows`` with the packaged values of their key as one JSON text ``geo`` where they are accepted, else null."""
+    names = {"habitat": "habitat", "max": "maxhab", "avg": "avghab", "observations": "observations", "centroids": "centroids", "elevation": "elevation", "elevation_profile": "hypsogram"}
+    raw = {"habitat": "array<struct<lng:double,lat:double,occ:bigint>>", "centroids": "array<array<decimal(8,4)>>", "elevation_profile": "array<struct<elevation:bigint,occ:bigint>>"}
+    parts = [(F.from_json(c, raw[c]) if c in raw else F.col(c)).alias(n) for c, n in names.items() if c in packaged.columns]
+    joined = rows.join(packaged.select(key, F.to_json(F.struct(*parts)).alias("__geo")), key, "left")
+    return joined.withColumn("geo", F.when(F.col("accepted"), F.col("__geo"))).drop("__geo")
 
 
 def densest_tile(tiles: DataFrame, key: str) -> DataFrame:

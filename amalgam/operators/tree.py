@@ -9,27 +9,27 @@ from amalgam.functions.keys import first_by
 from amalgam.operators.dedupe import mode_by
 from amalgam.session import cut
 
-#: Levels and rounds after which a hierarchy is taken to be circular.
-LEVELS = 20
+#: Levels and rounds that no hierarchy of ranks passes.
+LEVELS = 60
 
 
 def closure(edges: DataFrame, node: str = "id", parent: str = "parent", levels: int = LEVELS) -> DataFrame:
-    """(node, ancestor, level) of every ancestor up to ``levels`` above, direct parents at level 1.
+    """(node, ancestor, level) of every ancestor, direct parents at level 1.
 
     One equi-join a level; a level that finds no new ancestor ends it, so
-    circles end too.
+    circles end too. RuntimeError if there are ancestors beyond ``levels``.
     """
     up = cut(edges.filter(F.col(parent).isNotNull() & (F.col(node) != F.col(parent))).select(F.col(node).alias("node"), F.col(parent).alias("ancestor")).distinct())
     steps = up.select(F.col("node").alias("ancestor"), F.col("ancestor").alias("__next"))
     found = up.withColumn("level", F.lit(1))
     front = found
-    for level in range(2, levels + 1):
+    for level in range(2, levels + 2):
         met = front.join(steps, "ancestor").select("node", F.col("__next").alias("ancestor")).distinct()
         front = cut(met.join(found.select("node", "ancestor"), ["node", "ancestor"], "left_anti").withColumn("level", F.lit(level)))
         if front.isEmpty():
-            break
+            return found
         found = found.unionByName(front)
-    return found
+    raise RuntimeError(f"a hierarchy of more than {levels} levels")
 
 
 def nearest_by_rank(ancestors: DataFrame, nodes: DataFrame, node: str, rank: str, name: str, ranks: list[str]) -> DataFrame:
@@ -53,6 +53,21 @@ def backfill(df: DataFrame, ranks: list[str]) -> DataFrame:
     return df
 
 
+#: Ranks whose names begin with the genus.
+BELOW_GENUS = ("SPECIES", "SUBSPECIES", "VARIETY", "FORM", "SUBVARIETY", "SUBFORM", "LUSUS")
+
+
+def genus_from_name(df: DataFrame, name: str = "name", rank: str = "rank", genus: str = "genus") -> DataFrame:
+    """Fill a missing genus by the first word of the name of a species or below that has more than one."""
+    known = F.upper(F.col(rank)).isin(*BELOW_GENUS) & F.col(name).contains(" ")
+    return df.withColumn(genus, F.coalesce(F.col(genus), F.when(known, F.split_part(F.col(name), F.lit(" "), F.lit(1)))))
+
+
+def complete_ranks(df: DataFrame, ranks: list[str], name: str = "name", rank: str = "rank") -> DataFrame:
+    """:func:`genus_from_name` if ``ranks`` hold the genus, then :func:`backfill`."""
+    return backfill(genus_from_name(df, name, rank) if "genus" in ranks else df, ranks)
+
+
 def orphans_to_parents(df: DataFrame, key: str, name: str, domain: str, rank: str, order: list[Column]) -> DataFrame:
     """(key, parent): a parent by name for rows without one.
 
@@ -70,7 +85,7 @@ def orphans_to_parents(df: DataFrame, key: str, name: str, domain: str, rank: st
 def cascade(df: DataFrame, key: str = "id", parent: str = "parent", rounds: int = LEVELS) -> DataFrame:
     """Accept unaccepted parents of accepted rows, and theirs, with the union of their children's accepted_by.
 
-    Runs to the fixed point or for ``rounds``.
+    Runs to the fixed point; RuntimeError if ``rounds`` were too few for it.
     """
     state = cut(df)
     for _ in range(rounds):
@@ -84,7 +99,21 @@ def cascade(df: DataFrame, key: str = "id", parent: str = "parent", rounds: int
         if not state.filter("__new").limit(1).count():
             return state.drop("__new").select(*df.columns)
         state = state.drop("__new")
-    return state.select(*df.columns)
+    raise RuntimeError(f"rows are still accepted after {rounds} rounds")
+
+
+def repair_parents(df: DataFrame, key: str = "id", name: str = "name", parent: str = "parent") -> DataFrame:
+    """Parents of accepted rows that are no accepted row give way to the accepted row of the parent's name, the least of several, else to null.
+
+    Unaccepted rows keep their parents.
+    """
+    accepted = df.filter("accepted")
+    sound = accepted.select(F.col(key).alias(parent), F.lit(True).alias("__sound")).distinct()
+    called = df.groupBy(F.col(key).alias(parent)).agg(F.min(name).alias("__called"))
+    by_name = accepted.filter(F.col(name).isNotNull()).groupBy(F.col(name).alias("__called")).agg(F.min(key).alias("__other"))
+    met = df.join(sound, parent, "left").join(called, parent, "left").join(by_name, "__called", "left")
+    mended = F.when(~F.col("accepted") | F.col("__sound"), F.col(parent)).otherwise(F.col("__other"))
+    return met.withColumn(parent, mended).select(*df.columns)
 
 
 def with_child_count(df: DataFrame, key: str = "id", parent: str = "parent") -> DataFrame:

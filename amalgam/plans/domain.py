@@ -61,9 +61,9 @@ def vote_admission(t: Tables):
 # ---------------------------------------------------------------- priority union and ids
 
 _SOURCES = """
-a as (select c_custkey x, null::bigint y, 'n' || (c_custkey * 7 % 900)::varchar nm from customer where c_custkey % 3 = 0),
-b as (select c_custkey x, c_custkey * 10 y, 'n' || (c_custkey * 11 % 1900)::varchar nm from customer where c_custkey % 4 = 0),
-c as (select null::bigint x, c_custkey * 20 y, 'n' || (c_custkey * 13 % 2900)::varchar nm from customer where c_custkey % 5 = 0)
+a as (select case when c_acctbal < 3000 then c_custkey end x, null::bigint y, 'n' || (c_custkey * 7 % 900)::varchar nm from customer),
+b as (select c_custkey x, case when c_acctbal < 6000 then c_custkey * 10 end y, 'n' || (c_custkey * 11 % 1900)::varchar nm from customer),
+c as (select null::bigint x, c_custkey * 20 y, 'n' || (c_custkey * 13 % 2900)::varchar nm from customer)
 """
 
 
@@ -72,9 +72,9 @@ def _sources(t: Tables) -> list[tuple[str, DataFrame]]:
     name = lambda k, m: F.concat(F.lit("n"), (key * k % m).cast("string")).alias("nm")
     c = t.customer
     return [
-        ("a", c.filter("c_custkey % 3 = 0").select(key.alias("x"), none.alias("y"), name(7, 900))),
-        ("b", c.filter("c_custkey % 4 = 0").select(key.alias("x"), (key * 10).alias("y"), name(11, 1900))),
-        ("c", c.filter("c_custkey % 5 = 0").select(none.alias("x"), (key * 20).alias("y"), name(13, 2900))),
+        ("a", c.select(F.when(F.col("c_acctbal") < 3000, key).alias("x"), none.alias("y"), name(7, 900))),
+        ("b", c.select(key.alias("x"), F.when(F.col("c_acctbal") < 6000, key * 10).alias("y"), name(11, 1900))),
+        ("c", c.select(none.alias("x"), (key * 20).alias("y"), name(13, 2900))),
     ]
 
 
@@ -118,20 +118,45 @@ def name_fallback(t: Tables):
 
 
 @query(
-    """with known as (select c_custkey k from customer where c_custkey % 2 = 0), syn as (select c_custkey s, min(c_custkey - 1) a from customer where c_custkey % 10 = 3 group by 1),
+    """with known as (select c_custkey k from customer where c_acctbal >= 0), syn as (select c_custkey s, min(c_custkey - 1) a from customer where c_mktsegment = 'BUILDING' group by 1),
     r as (select o_orderkey, o_custkey cust_raw, coalesce(a, o_custkey) cust from orders left join syn on o_custkey = s)
     select o_orderkey, cust_raw, k cust from r left join known on cust = k"""
 )
 def id_polish(t: Tables):
-    synonyms = t.customer.filter("c_custkey % 10 = 3").select(F.col("c_custkey").alias("s"), (F.col("c_custkey") - 1).alias("a"))
+    synonyms = t.customer.filter("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").alias("s"), (F.col("c_custkey") - 1).alias("a"))
     resolved = joins.resolve_synonyms(t.orders.select("o_orderkey", F.col("o_custkey").alias("cust")), "cust", synonyms, "s", "a")
-    return joins.keep_known(resolved, "cust", t.customer.filter("c_custkey % 2 = 0"), "c_custkey").select("o_orderkey", "cust_raw", "cust")
+    return joins.keep_known(resolved, "cust", t.customer.filter("c_acctbal >= 0"), "c_custkey").select("o_orderkey", "cust_raw", "cust")
 
 
-@query("with d as (select event_id, user_id, value * 2 v from events where event_id % 5 = 0) select event_id, user_id, value v from events where event_id % 2 = 0 and event_id not in (select event_id from d) union all select * from d")
+@query("with d as (select event_id, user_id, value * 2 v from events where event_type <> 'view') select event_id, user_id, value v from events where event_id not in (select event_id from d) union all select * from d")
 def upsert_events(t: Tables):
-    base = t.events.filter("event_id % 2 = 0").select("event_id", "user_id", F.col("value").alias("v"))
-    return joins.upsert(base, t.events.filter("event_id % 5 = 0").select("event_id", "user_id", (F.col("value") * 2).alias("v")), "event_id")
+    base = t.events.select("event_id", "user_id", F.col("value").alias("v"))
+    return joins.upsert(base, t.events.filter("event_type <> 'view'").select("event_id", "user_id", (F.col("value") * 2).alias("v")), "event_id")
+
+
+_SOURCE = """src as (select p_partkey id_raw, p_name name_clean, case when p_size < 20 then 'accepted' when p_size < 35 then 'synonym' when p_size < 45 then 'problematic' end status_clean,
+case when p_retailprice > 1000 then [100000 + p_partkey, 200000 + p_partkey] end former from part),
+mine as (select o_orderkey k, case o_orderpriority when '1-URGENT' then null when '2-HIGH' then 100000 + o_custkey when '3-MEDIUM' then 300000 + o_custkey else o_custkey end id, p_name nm, o_orderstatus <> 'F' accepted
+from orders left join part on p_partkey = o_custkey)"""
+
+
+@query(
+    f"""with {_SOURCE}, moved as (select old, min(id_raw) new from (select id_raw, unnest(former) old from src) group by 1),
+    one as (select k, coalesce(new, id) id, nm, accepted from mine left join moved on id = old), two as (select k, case when id in (select id_raw from src) then id end id, nm, accepted from one),
+    current as (select name_clean, min(id_raw) to_id from src where status_clean = 'accepted' group by 1),
+    three as (select k, coalesce(to_id, id) id, nm, accepted from two left join (select id_raw, to_id from src join current using (name_clean) where status_clean <> 'accepted') s on id = s.id_raw),
+    best as (select name_clean, id_raw best from (select *, row_number() over (partition by name_clean order by case status_clean when 'accepted' then 0 when 'synonym' then 1 else 2 end, id_raw) r from src) where r = 1)
+    select k, coalesce(id, best) id from three left join best on nm = name_clean where accepted union all select k, id from mine where not accepted"""
+)
+def polish_ids(t: Tables):
+    size, price = F.col("p_size"), F.col("p_retailprice")
+    status = F.when(size < 20, "accepted").when(size < 35, "synonym").when(size < 45, "problematic")
+    source = t.part.select(F.col("p_partkey").alias("id_raw"), F.col("p_name").alias("name_clean"), status.alias("status_clean"), F.when(price > 1000, F.array(F.col("p_partkey") + 100000, F.col("p_partkey") + 200000)).alias("former"))
+    named = t.orders.join(t.part.select(F.col("p_partkey").alias("o_custkey"), F.col("p_name").alias("nm")), "o_custkey", "left")
+    cust, priority = F.col("o_custkey"), F.col("o_orderpriority")
+    held = F.when(priority == "2-HIGH", cust + 100000).when(priority == "3-MEDIUM", cust + 300000).when(priority != "1-URGENT", cust)
+    rows = named.select(F.col("o_orderkey").alias("k"), held.alias("id"), "nm", (F.col("o_orderstatus") != "F").alias("accepted"))
+    return joins.polish_ids(rows, "id", "nm", source, status="status_clean", former="former").select("k", "id")
 
 
 # ---------------------------------------------------------------- duplicates and acceptance
@@ -233,6 +258,30 @@ def rank_backfill(t: Tables):
     return tree.backfill(rows, ["a", "b", "c", "d"]).select("k", "a", "b")
 
 
+@query(
+    """with h as (select p_partkey k, case when p_size > 10 then p_brand end family, case when p_retailprice > 950 then p_type end genus, p_name nm, case when p_size % 3 = 0 then 'GENUS' else 'SPECIES' end rank from part),
+    g as (select k, family, coalesce(genus, case when rank = 'SPECIES' and contains(nm, ' ') then split_part(nm, ' ', 1) end) genus from h),
+    m as (select genus, family from (select genus, family, row_number() over (partition by genus order by count(*) desc, family) r from g where genus is not null and family is not null group by 1, 2) where r = 1)
+    select k, coalesce(g.family, m.family) family, g.genus from g left join m using (genus)"""
+)
+def complete_ranks(t: Tables):
+    size = F.col("p_size")
+    rank = F.when(size % 3 == 0, "GENUS").otherwise("SPECIES")
+    rows = t.part.select(F.col("p_partkey").alias("k"), F.when(size > 10, F.col("p_brand")).alias("family"), F.when(F.col("p_retailprice") > 950, F.col("p_type")).alias("genus"), F.col("p_name").alias("species"), F.col("p_name").alias("nm"), rank.alias("rank"))
+    return tree.complete_ranks(rows, ["family", "genus", "species"], "nm", "rank").select("k", "family", "genus")
+
+
+@query(
+    """with x as (select p_partkey id, p_name nm, case when p_size < 40 then p_partkey * 7 % 2500 end parent, p_retailprice > 930 accepted from part),
+    ok as (select id from x where accepted), byname as (select nm, min(id) other from x where accepted group by 1)
+    select x.id, case when not x.accepted or x.parent in (select id from ok) then x.parent else b.other end parent from x left join x p on x.parent = p.id left join byname b on p.nm = b.nm"""
+)
+def parent_repair(t: Tables):
+    k = F.col("p_partkey")
+    rows = t.part.select(k.alias("id"), F.col("p_name").alias("name"), F.when(F.col("p_size") < 40, k * 7 % 2500).alias("parent"), (F.col("p_retailprice") > 930).alias("accepted"))
+    return tree.repair_parents(rows).select("id", "parent")
+
+
 @query(f"with {_NODES} select n.id, count(c.id) child_count from nodes n left join nodes c on c.parent = n.id group by 1")
 def child_counts(t: Tables):
     return tree.with_child_count(_nodes(t)).select("id", "child_count")
@@ -305,6 +354,69 @@ def tile_rollup(t: Tables):
     return tiles.guarded_rollup(seed, edges, "k").groupBy("k").agg(F.count(F.lit(1)).alias("tiles"), F.sum("count").alias("n"))
 
 
+_GUARD = 2
+_KEYED = "case when {n} > 2 then 'u:' || tile_id || '#' || {k} else 'm:' || tile_id end"
+
+
+@query(
+    f"""with {_SEED}, s as (select k, tile_id, center_lng x, center_lat y, n, {_KEYED.format(n="n", k="k")} mk from seed),
+    a as (select 100000 + k % 10 k, tile_id, mk, min_by(x, (-n, x, y)) x, min_by(y, (-n, x, y)) y, sum(n)::bigint n from s group by 1, 2, 3),
+    a2 as (select k, tile_id, x, y, n, case when mk like 'u:%' then mk else {_KEYED.format(n="n", k="k")} end mk from a),
+    b as (select 200000 k, tile_id, mk, min_by(x, (-n, x, y)) x, min_by(y, (-n, x, y)) y, sum(n)::bigint n from a2 group by 1, 2, 3),
+    b2 as (select k, tile_id, x, y, n, case when mk like 'u:%' then mk else {_KEYED.format(n="n", k="k")} end mk from b)
+    select k, tile_id, mk merge_key, round(x, 6) center_lng, round(y, 6) center_lat, n from (select * from s union all by name select * from a2 union all by name select * from b2)"""
+)
+def tile_rollup_guarded(t: Tables):
+    """Centres, counts and merge keys of the rollup, with a guard of two points so that tiles are kept apart."""
+    seed = _seed(t)
+    users = seed.select("k").distinct()
+    edges = users.select("k", (100000 + F.col("k") % 10).alias("parent"))
+    edges = edges.unionAll(edges.select(F.col("parent").alias("k"), F.lit(200000).cast("long").alias("parent")).distinct())
+    out = tiles.guarded_rollup(seed, edges, "k", guard=_GUARD)
+    return out.select("k", "tile_id", "merge_key", F.round("center_lng", 6).alias("center_lng"), F.round("center_lat", 6).alias("center_lat"), F.col("count").alias("n"))
+
+
+@query(
+    f"""with {_POINTS}, p as (select k, lng, lat, count(*) n from pts group by 1, 2, 3), s as (select 100000 + k % 10 k, lng, lat, sum(n) n from p group by 1, 2, 3),
+    g as (select 300000 k, lng, lat, sum(n) n from s where k < 100005 group by 1, 2, 3) select k, count(*) points, sum(n)::bigint n, round(sum(lng * n), 3) lng from (select * from p union all select * from s union all select * from g) group by 1"""
+)
+def raw_rollup(t: Tables):
+    """Points of species-level parents; edges to other ranks move nothing."""
+    points = _points(t).select("k", "lng", "lat")
+    users = points.select("k").distinct()
+    up = users.select("k", (100000 + F.col("k") % 10).alias("parent"), F.lit("SPECIES").alias("parent_rank"))
+    top = up.select(F.col("parent").alias("k")).distinct().select("k", F.lit(300000).cast("long").alias("parent"), F.when(F.col("k") < 100005, "SPECIES").otherwise("GENUS").alias("parent_rank"))
+    out = tiles.raw_rollup(points, up.unionAll(top), "k", ["SPECIES", "SUBSPECIES", "VARIETY", "FORM"])
+    return out.groupBy("k").agg(F.count(F.lit(1)).alias("points"), F.sum("count").alias("n"), F.round(F.sum(F.col("lng") * F.col("count")), 3).alias("lng"))
+
+
+@query(
+    f"""with {_SEED}, t as (select *, round(center_lng * 10000)::bigint || ':' || round(center_lat * 10000)::bigint || ':' || n item from seed)
+    select k, string_agg(item, ' ' order by n < 20, n desc, tile_id) habitat from t group by 1"""
+)
+def geo_package_habitat(t: Tables):
+    """The habitat JSON of the package, item by item and in its order."""
+    items = F.from_json("habitat", "array<struct<lng:double,lat:double,occ:bigint>>")
+    tenth = lambda x: F.round(x * 10000).cast("long").cast("string")
+    text = F.array_join(F.transform(items, lambda i: F.concat_ws(":", tenth(i["lng"]), tenth(i["lat"]), i["occ"].cast("string"))), " ")
+    return tiles.package(_seed(t), "k").select("k", text.alias("habitat"))
+
+
+@query(
+    f"""with {_POINTS}, b as (select k, (floor(elev / 100) * 100)::bigint bin, count(*) n from pts where elev is not null group by 1, 2),
+    pr as (select k, '[' || string_agg('{{"elevation":' || bin || ',"occ":' || n || '}}', ',' order by bin) || ']' elevation_profile from b group by 1),
+    r as (select k, bin, sum(n) over (partition by k order by bin) run, sum(n) over (partition by k) total from b), m as (select k, min(bin)::smallint elevation from r where run >= (total + 1) / 2 group by 1),
+    c as (select k, count(*) centroids from (select distinct k, lng::decimal(8, 4), lat::decimal(8, 4) from pts) group by 1)
+    select distinct p.k, elevation_profile, elevation, c.centroids from pts p left join pr using (k) left join m using (k) left join c using (k) where not (lng = 0 and lat = 0) and not (lng = 1 and lat = 1)"""
+)
+def geo_package_profile(t: Tables):
+    """The profile JSON, the median and the number of distinct points of the package."""
+    points = _points(t)
+    bins = tiles.histogram(points, "k", "elev")
+    out = tiles.package(_seed(t), "k", centroids=points, bins=bins, medians=tiles.histogram_median(bins, "k"))
+    return out.select("k", "elevation_profile", "elevation", F.json_array_length("centroids").cast("long").alias("centroids"))
+
+
 @query(
     f"""with {_SEED}, one as (select k, (floor(floor(tile_id / 1024) / 2) * 1024 + floor((tile_id % 1024) / 2))::bigint tile_id, 1 zoom_out, sum(n)::bigint n from seed group by 1, 2),
     h as (select k from seed group by 1 having count(*) > 60) select k, tile_id, zoom_out, n from one where k in (select k from h) union all select k, tile_id, 0, n from seed where k not in (select k from h)"""
@@ -371,16 +483,16 @@ def centroid_modes(t: Tables):
 # ---------------------------------------------------------------- snapshots
 
 _SNAPSHOTS = """cur as (select case when o_orderkey % 50 = 3 then o_orderkey + 10000000 else o_orderkey end id, o_orderstatus st, case when o_orderkey % 20 = 1 then o_totalprice + 1 else o_totalprice end price, o_custkey cust
-from orders where o_orderkey % 10 <> 0), prev as (select o_orderkey id, o_orderstatus st, o_totalprice price, o_custkey cust from orders where o_orderkey % 11 <> 0)"""
+from orders where o_orderpriority <> '1-URGENT'), prev as (select o_orderkey id, o_orderstatus st, o_totalprice price, o_custkey cust from orders where o_orderpriority <> '2-HIGH')"""
 
 
 def _snapshots(t: Tables) -> tuple[DataFrame, DataFrame]:
     k, o = F.col("o_orderkey"), t.orders
     rest = [F.col("o_orderstatus").alias("st")]
-    cur = o.filter("o_orderkey % 10 <> 0").select(
+    cur = o.filter("o_orderpriority <> '1-URGENT'").select(
         F.when(k % 50 == 3, k + 10000000).otherwise(k).alias("id"), *rest, F.when(k % 20 == 1, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")).alias("price"), F.col("o_custkey").alias("cust")
     )
-    return cur, o.filter("o_orderkey % 11 <> 0").select(k.alias("id"), *rest, F.col("o_totalprice").alias("price"), F.col("o_custkey").alias("cust"))
+    return cur, o.filter("o_orderpriority <> '2-HIGH'").select(k.alias("id"), *rest, F.col("o_totalprice").alias("price"), F.col("o_custkey").alias("cust"))
 
 
 _TAGGED = f"""with {_SNAPSHOTS}, j as (select coalesce(c.id, p.id) id, c.id ci, p.id pi, c.st st, c.price price, c.cust cust, p.st pst, p.price pprice, p.cust pcust from cur c full join prev p on c.id = p.id),
@@ -406,11 +518,12 @@ def rekey_diff(t: Tables):
 
 @query(
     f"""{_TAGGED}, c as (select count(*) filter (where category = 'new') n_new, count(*) filter (where category = 'changed') n_changed, count(*) filter (where category = 'deleted') n_deleted from tagged)
-    select c.*, (select count(*) from cur) cur_scope, (select count(*) from prev) prev_scope, greatest(n_new, n_changed, n_deleted) / (select count(*) from prev) > 0.1 suspicious from c"""
+    select c.*, (select count(*) from cur) cur_scope, (select count(*) from prev) prev_scope, greatest(n_new, n_changed, n_deleted) / (select count(*) from prev) > 0.1 suspicious,
+    greatest(n_new, n_changed, n_deleted) > case when greatest(n_new, n_changed, n_deleted) / (select count(*) from prev) > 0.1 then 200 else 2000 end truncated from c"""
 )
 def diff_summary(t: Tables):
     cur, prev = _snapshots(t)
-    return diff.summary(diff.changes(cur, prev, "id", ["st", "price"]), cur, prev).drop("truncated")
+    return diff.summary(diff.changes(cur, prev, "id", ["st", "price"]), cur, prev)
 
 
 @query(

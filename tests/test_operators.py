@@ -2,6 +2,7 @@ import json
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from amalgam.operators import acceptance, areas, checks, cluster, dedupe, diff, joins, sampling, tiles, tree, vernacular, vote
@@ -174,3 +175,56 @@ def test_checks_areas_sampling(spark):
     stale = spark.createDataFrame([(1, None), (2, 5), (3, 1)], "k int, checked int")
     assert [r.k for r in sampling.stale_first(stale, "checked", 2, "k").collect()] == [1, 3]
     assert dedupe.duplicates(spark.createDataFrame([(1,), (1,), (2,)], "k int"), ["k"]).first().n == 2
+
+
+def test_at_most_three_representatives(spark):
+    """Ten far-apart heaps of weight 6,000: the three heaviest stand for the set, whatever the number of clusters."""
+    rows = [("a", float(20 * i), float(10 * (i % 3)), 6000 + 100 * i) for i in range(10)] + [("a", 20.0 * i + 0.5, 10.0 * (i % 3), 10) for i in range(10)]
+    rows += [("b", 0.0, 0.0, 900), ("b", 1.0, 0.0, 800), ("b", 0.0, 1.0, 700), ("b", 50.0, 50.0, 600)]
+    points = spark.createDataFrame(rows, "k string, lng double, lat double, w long")
+    got = {}
+    for r in cluster.centroids(points, "k", weight="w").collect():
+        got.setdefault(r.k, []).append((r.nth, r.lng, r.lat))
+    assert [p[1:] for p in sorted(got["a"])] == [(180.0, 0.0), (160.0, 20.0), (140.0, 10.0)]
+    assert 1 <= len(got["b"]) <= 3
+    with pytest.raises(Exception, match="roll them up"):
+        cluster.centroids(points, "k", weight="w", most_points=5).collect()
+
+
+def test_raw_rollup_of_a_circle_is_refused(spark):
+    points = spark.createDataFrame([("a", 1.0, 2.0)], "k string, lng double, lat double")
+    edges = spark.createDataFrame([("a", "b", "SPECIES"), ("b", "c", "SPECIES"), ("c", "d", "GENUS")], "k string, parent string, parent_rank string")
+    assert {(r.k, r["count"]) for r in tiles.raw_rollup(points, edges, "k", ["SPECIES"]).collect()} == {("a", 1), ("b", 1), ("c", 1)}
+    circle = edges.unionAll(spark.createDataFrame([("c", "a", "SPECIES")], edges.schema))
+    with pytest.raises(RuntimeError):
+        tiles.raw_rollup(points, circle, "k", ["SPECIES"], levels=4)
+
+
+def test_geo_of_accepted_rows(spark):
+    packed = tiles.package(
+        spark.createDataFrame([(1, 7, 10.5, -3.25, 30), (1, 8, 11.0, 4.0, 5), (1, 9, 12.0, 5.0, 40)], "k long, tile_id long, center_lng double, center_lat double, count long"), "k",
+        centroids=spark.createDataFrame([(1, 1.00001, 2.0), (1, 1.0, 2.0)], "k long, lng double, lat double"),
+        bins=spark.createDataFrame([(1, 200, 3), (1, 100, 4)], "k long, bin long, count long"), medians=spark.createDataFrame([(1, 100)], "k long, median long"),
+    )
+    rows = spark.createDataFrame([(1, True), (1, False), (2, True)], "k long, accepted boolean")
+    got = {(r.k, r.accepted): r.geo and json.loads(r.geo) for r in tiles.with_geo(rows, packed, "k").collect()}
+    assert got[1, False] is None and got[2, True] is None
+    one = got[1, True]
+    assert [h["occ"] for h in one["habitat"]] == [40, 30, 5] and one["centroids"] == [[1.0, 2.0]] and one["maxhab"] == 40 and one["observations"] == 75 and one["elevation"] == 100
+    assert one["hypsogram"] == [{"elevation": 100, "occ": 4}, {"elevation": 200, "occ": 3}]
+
+
+def test_polished_ids_and_parents(spark):
+    source = spark.createDataFrame([(1, "rosa", "accepted", None), (2, "poa", "synonym", [9]), (3, "rosa", "synonym", None), (4, None, None, None)], "id_raw long, name_clean string, status_clean string, former array<long>")
+    rows = spark.createDataFrame([("a", 9, "poa", True), ("b", 77, "rosa", True), ("c", 3, "x", True), ("d", None, "none", True), ("e", 77, "rosa", False), ("f", None, "poa", True)], "k string, id long, nm string, accepted boolean")
+    got = {r.k: r.id for r in joins.polish_ids(rows, "id", "nm", source, status="status_clean", former="former").collect()}
+    assert got == {"a": 2, "b": 1, "c": 1, "d": None, "e": 77, "f": 2}
+    taxa = spark.createDataFrame([(1, "a", 2, True), (2, "g", None, False), (3, "g", None, True), (4, "b", 99, True), (5, "c", 2, False), (6, "d", 3, True)], "id long, name string, parent long, accepted boolean")
+    assert {r.id: r.parent for r in tree.repair_parents(taxa).collect()} == {1: 3, 2: None, 3: None, 4: None, 5: 2, 6: 3}
+
+
+def test_endless_hierarchies_are_said(spark):
+    chain = spark.createDataFrame([(i, i + 1) for i in range(9)], "id long, parent long")
+    with pytest.raises(RuntimeError):
+        tree.closure(chain, levels=4)
+    assert tree.closure(chain, levels=9).count() == 45

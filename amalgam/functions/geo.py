@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
 TILES = 1024
 LIMIT = 85.05112878
@@ -38,3 +41,15 @@ def haversine_km(lng1: Column, lat1: Column, lng2: Column, lat2: Column) -> Colu
     a1, a2 = F.radians(lat1), F.radians(lat2)
     h = F.pow(F.sin((a2 - a1) / 2), 2) + F.cos(a1) * F.cos(a2) * F.pow(F.sin(F.radians(lng2 - lng1) / 2), 2)
     return 2 * EARTH_KM * F.asin(F.least(F.lit(1.0), F.sqrt(h)))
+
+
+@F.pandas_udf(BinaryType())
+def _points(lng: pd.Series, lat: pd.Series) -> pd.Series:
+    head = b"\x01" + (1).to_bytes(4, "little")
+    pairs = np.column_stack([lng.to_numpy("float64"), lat.to_numpy("float64")]).astype("<f8")
+    return pd.Series([head + p.tobytes() if np.isfinite(p).all() else None for p in pairs])
+
+
+def point_wkb(lng: Column, lat: Column) -> Column:
+    """A point as well-known binary, little-endian; null where a coordinate is."""
+    return _points(lng.cast("double"), lat.cast("double"))

@@ -107,6 +107,35 @@ def previous_release(storage: LocalStorage, current: str, folder: str = "") -> s
     return max((r for r in releases(storage, folder) if r < current), default=None)
 
 
+class State:
+    """What the last run knew of each source, kept in one JSON file: dates, versions and where an incremental source stopped."""
+
+    def __init__(self, storage: LocalStorage, path: str = "state.json"):
+        self.storage, self.path = storage, path
+
+    def load(self) -> dict:
+        return self.storage.read_json(self.path) if self.storage.exists(self.path) else {}
+
+    def of(self, name: str) -> Source:
+        held = self.load().get(name, {})
+        known = {k: v for k, v in held.items() if k in ("url", "citation", "suffix", "downloaded", "processed")}
+        return Source(name, **known, extra={k: v for k, v in held.items() if k not in known})
+
+    def update(self, name: str, **values) -> None:
+        """Set values of a source; others and other sources stay, and a value of None goes."""
+        held = self.load()
+        merged = held.get(name, {}) | values
+        held[name] = {k: v for k, v in merged.items() if v is not None}
+        self.storage.write_json(self.path, held)
+
+    def advance(self, name: str, last_key: int, when: datetime | None = None) -> bool:
+        """Move the last processed key of a source up; a lower one changes nothing."""
+        if last_key <= (self.of(name).extra.get("last_key") or -1):
+            return False
+        self.update(name, last_key=last_key, last_request=(when or datetime.now(UTC)).isoformat())
+        return True
+
+
 def may_request(manifest: dict, now: datetime | None = None, hours: int = 24) -> bool:
     """Whether the last request in a manifest is long enough ago."""
     last = manifest.get("last_request")

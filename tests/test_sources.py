@@ -6,8 +6,9 @@ from datetime import UTC, datetime
 import pytest
 from pyspark.sql import functions as F
 
-from amalgam.plans import release
-from amalgam.sources import readers, releases, writers
+from amalgam.functions import geo
+from amalgam.plans import profile, release
+from amalgam.sources import archives, enrich, readers, releases, writers
 from amalgam.streaming.upserts import RollingTable, windowed_counts
 
 
@@ -124,3 +125,60 @@ def test_fuse_end_to_end(spark, tmp_path):
     assert ranked["rosa canina"] == "rosa" and ranked["tulipa gesneriana"] == "tulipa"
     version = release.package(out, releases.LocalStorage(tmp_path), [20240101, 20240202])
     assert spark.read.parquet(str(tmp_path / version / f"{version}.parquet")).count() == 5
+
+
+def test_unpack_streams_members(spark, tmp_path):
+    with zipfile.ZipFile(tmp_path / "s.zip", "w") as z:
+        z.writestr("in/../Taxon.tsv", "id\tname\n1\trosa\n")
+        z.writestr("deep/er/big.tsv", "x\n" * 200_000)
+        z.writestr("deep/", "")
+        z.writestr("other.txt", "no")
+    got = archives.unpack(spark, str(tmp_path / "s.zip"), str(tmp_path / "out"), ".tsv")
+    assert [g.rsplit("/", 1)[1] for g in got] == ["deep__er__big.tsv", "in__..__Taxon.tsv"]
+    assert spark.read.text(got).count() == 200_002
+    archives.pack(spark, {"a": got[1]}, str(tmp_path / "p.zip"))
+    with zipfile.ZipFile(tmp_path / "p.zip") as z:
+        assert z.read("a") == b"id\tname\n1\trosa\n"
+    archives.remove(spark, str(tmp_path / "out"))
+    assert not (tmp_path / "out").exists()
+
+
+def test_enrichment_tries_again_and_follows_redirects(spark):
+    calls = []
+
+    def fetch(keys):
+        calls.append(len(keys))
+        if len(calls) < 3:
+            raise OSError("busy")
+        return {"a": "b", "b": "a", "c": "d"}, {"d": "D", "e": "E"}
+
+    assert enrich.answers(["a", "c", "e", "x"], fetch, wait=0.0) == [None, "D", "E", None] and calls == [4, 4, 4]
+    assert enrich.answers(["e"], lambda keys: (_ for _ in ()).throw(OSError()), tries=2, wait=0.0) == [None]
+    rows = spark.createDataFrame([("k%d" % i,) for i in range(50)] * 2 + [(None,)], "name string")
+    found = enrich.enrich(rows, "name", lambda keys: ({}, {k: str(len(keys)) for k in keys}), per_call=7, tasks=2)
+    got = {r.name: r.answer for r in found.collect()}
+    assert len(got) == 50 and all(1 <= int(v) <= 7 for v in got.values())
+
+
+def test_profile():
+    assert profile.profile([], {}) == profile.Profile()
+    got = profile.profile(["--force", "--no-geo", "--rows", "10", "--sources", "gbif", "col"], {"AMALGAM_ROWS": "5", "AMALGAM_CSV": "yes", "AMALGAM_DIFF": "0"})
+    assert (got.force, got.geo, got.rows, got.sources, got.csv, got.diff, got.limit()) == (True, False, 10, ("gbif", "col"), True, False, 10)
+    assert got.wants("col") and not got.wants("ncbi") and profile.Profile().wants("ncbi") and profile.profile([], {"AMALGAM_SOURCES": "a,b"}).sources == ("a", "b")
+
+
+def test_state(tmp_path):
+    state = releases.State(releases.LocalStorage(tmp_path))
+    assert state.of("gbif") == releases.Source("gbif")
+    state.update("gbif", downloaded=20240101, citation="c")
+    state.update("col", downloaded=1)
+    state.update("gbif", processed=20240101, citation=None)
+    assert state.of("gbif") == releases.Source("gbif", downloaded=20240101, processed=20240101) and not state.of("gbif").stale()
+    assert state.advance("gbif", 10) and not state.advance("gbif", 9) and state.of("gbif").extra["last_key"] == 10 and state.of("col").downloaded == 1
+
+
+def test_points_as_binary(spark):
+    import struct
+
+    df = spark.createDataFrame([(1.5, -2.0), (None, 1.0)], "x double, y double")
+    assert [r[0] for r in df.select(geo.point_wkb(df.x, df.y)).collect()] == [bytearray(struct.pack("<BIdd", 1, 1, 1.5, -2.0)), None]

@@ -2,20 +2,23 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from amalgam.functions.ranks import HYBRID_RANKS, rank_label, status_label
 
 TIMES = "×"
-# Rank terms that are left over inside names, a pattern alternative each.
-LEFTOVER_RANKS = (
-    r"ser|sect|subsect|subgen|sub|bb|ab|mut|var|subvar|convar|race|subsp|subspec|ssp|forma|form|subf|f|fo|fma|unr|lus|lusus|prol|proles"
-    r"|sp nov|sp\. nov|f\.sp\.|\[unranked\]"
-)
-QUOTES = "[\"ʽ‛‟′″‴’‘]"
-#: Everything outside lower-case letters and the range from space to apostrophe.
-STRAY = "[^a-z -']"
+# Rank terms that are left over inside names.
+LEFTOVER_RANKS = [
+    "ser", "sect", "subsect", "subgen", "sub", "bb", "ab", "mut", "var", "subvar", "convar", "race", "subsp", "subspec", "ssp", "forma", "form", "subf", "f", "fo", "fma", "unr", "lus",
+    "lusus", "prol", "proles", "sp nov", "sp. nov", "f.sp.", "[unranked]",
+]
+# Signs that stand for an apostrophe.
+QUOTES = "\"ʽ‛‟′″‴’‘"
+# Fixed value: everything outside lower-case letters and the range from space to apostrophe.
+STRAY = "[^a-z -']+"
 # Letters with diacritics and their plain forms.
 ACCENTED = "àáâãäåāăąçćčďèéêëēėęěìíîïīįıñńňòóôõöøōřśšùúûüūýÿžźż"
 PLAIN = "aaaaaaaaacccdeeeeeeeeiiiiiiinnnooooooorssuuuuuyyzzz"
@@ -37,12 +40,19 @@ def without_term(name: Column, term: Column) -> Column:
     return F.when(low.contains(sought) & (sought != ""), squeeze(F.replace(low, sought, F.lit("")))).otherwise(name)
 
 
+def _leftover() -> str:
+    """A pattern of the leftover terms, grouped by their first letter so that most words fail at once."""
+    by_first: dict[str, list[str]] = {}
+    for term in LEFTOVER_RANKS:
+        by_first.setdefault(re.escape(term[0]), []).append(re.escape(term[1:]))
+    return "|".join(f"{first}(?:{'|'.join(rest)})" for first, rest in by_first.items())
+
+
 def clean_name(name: Column) -> Column:
-    """Leftover rank terms, quote variants and stray characters out, spaces squeezed."""
-    out = F.regexp_replace(name, rf" (notho)?({LEFTOVER_RANKS})(\.?)(\s|$)", " ")
-    out = F.regexp_replace(out, QUOTES, "'")
-    out = F.regexp_replace(out, STRAY, "")
-    return F.trim(F.regexp_replace(F.regexp_replace(out, " {2,}", " "), "\t+", " "))
+    """Leftover rank terms, quote variants and stray characters (tabs too) out, spaces squeezed."""
+    out = F.regexp_replace(name, rf" (?:notho)?(?:{_leftover()})\.?(?:\s|$)", " ")
+    out = F.regexp_replace(F.translate(out, QUOTES, "'" * len(QUOTES)), STRAY, "")
+    return F.trim(F.regexp_replace(out, "  +", " "))
 
 
 def with_hybrids(df: DataFrame, name: str = "name_clean", rank: str | None = "rank_raw") -> DataFrame:

@@ -23,6 +23,7 @@ def build_session(app: str = "amalgam", master: str | None = None, **conf: str)
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.ui.enabled": "false",
     }
     settings |= {k.replace("__", "."): v for k, v in conf.items()}
@@ -48,7 +49,9 @@ def cut(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared checkpoint folder and forget its lineage.
 
     Used between the rounds of iterative operators. The files survive lost
-    executors, unlike a local checkpoint.
+    executors, unlike a local checkpoint; with
+    spark.cleaner.referenceTracking.cleanCheckpoints, as :func:`build_session`
+    sets it, they go when nothing refers to them any more.
     """
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)

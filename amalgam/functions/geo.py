@@ -43,6 +43,11 @@ def haversine_km(lng1: Column, lat1: Column, lng2: Column, lat2: Column) -> Colu
     return 2 * EARTH_KM * F.asin(F.least(F.lit(1.0), F.sqrt(h)))
 
 
+def percentiles(value: Column, at: tuple[float, ...] = (0.5, 0.95, 0.99)) -> list[Column]:
+    """Exact percentiles p50, p95, p99 (or others) of errors, to compare two ways to place points."""
+    return [F.percentile(value, F.lit(p)).alias(f"p{round(p * 100)}") for p in at]
+
+
 @F.pandas_udf(BinaryType())
 def _points(lng: pd.Series, lat: pd.Series) -> pd.Series:
     head = b"\x01" + (1).to_bytes(4, "little")

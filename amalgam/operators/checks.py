@@ -34,8 +34,9 @@ def run_checks(spark: SparkSession, checks: list[Check]) -> DataFrame:
 
 
 def content_hash(df: DataFrame) -> int:
-    """A hash of all rows that does not depend on their order."""
+    """A hash of all rows that does not depend on their order; nulls count by their place."""
     from pyspark.sql import functions as F
 
+    nulls = F.concat(*[F.col(c).isNull().cast("int").cast("string") for c in df.columns])
     columns = [F.to_json(c) if dict(df.dtypes)[c].startswith("map") else F.col(c) for c in df.columns]
-    return int(df.select(F.xxhash64(*columns).cast("decimal(38,0)").alias("h")).agg(F.sum("h")).first()[0] or 0)
+    return int(df.select(F.xxhash64(*columns, nulls).cast("decimal(38,0)").alias("h")).agg(F.sum("h")).first()[0] or 0)

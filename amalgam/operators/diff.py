@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from amalgam.operators.checks import content_hash
+
 SUSPICIOUS = 0.1
 SAMPLES, SAMPLES_IF_SUSPICIOUS = 2000, 200
 
@@ -73,3 +75,16 @@ def samples(found: DataFrame, most: int = SAMPLES) -> DataFrame:
 def first_release(current: DataFrame, key: str, accepted: str | None = None) -> DataFrame:
     """All rows in scope as new."""
     return current.filter(_scope(accepted)).select(F.lit("new").alias("category"), F.col(key).cast("string").alias("id"), F.lit(None).cast("string").alias("old_id"), F.array().cast("array<string>").alias("fields"))
+
+
+def release_changes(current: DataFrame, previous: DataFrame | None, key: str, tracked: list[str], accepted: str | None = None, **how) -> tuple[str, DataFrame]:
+    """("first", all rows in scope as new), ("unchanged", no rows) if both snapshots have equal content, or ("diff", :func:`changes`).
+
+    Content is compared by a hash over all rows, whatever their order, so an
+    unchanged release costs two scans and no join.
+    """
+    if previous is None:
+        return "first", first_release(current, key, accepted)
+    if sorted(current.columns) == sorted(previous.columns) and content_hash(current.select(*sorted(current.columns))) == content_hash(previous.select(*sorted(current.columns))):
+        return "unchanged", first_release(current, key, accepted).limit(0)
+    return "diff", changes(current, previous, key, tracked, accepted, **how)

@@ -461,6 +461,19 @@ def haversine_pairs(t: Tables):
     return a.join(b, "k").select("k", F.round(geo.haversine_km(F.col("lng"), F.col("lat"), F.col("lng2"), F.col("lat2")), 3).alias("km"))
 
 
+@query(
+    f"""with {_SEED}, m as (select k, avg(lng) lng, avg(lat) lat from pts group by 1), d as (select k, center_lng, center_lat from (select *, row_number() over (partition by k order by n desc, tile_id) r from seed) where r = 1),
+    e as (select 2 * 6371 * asin(least(1, sqrt(pow(sin((radians(d.center_lat) - radians(m.lat)) / 2), 2) + cos(radians(m.lat)) * cos(radians(d.center_lat)) * pow(sin(radians(d.center_lng - m.lng) / 2), 2)))) km from m join d using (k))
+    select round(quantile_cont(km, 0.5), 3) p50, round(quantile_cont(km, 0.95), 3) p95, round(quantile_cont(km, 0.99), 3) p99 from e"""
+)
+def haversine_percentiles(t: Tables):
+    """How far the densest tile of a key is from the mean of its points."""
+    mean = _points(t).groupBy("k").agg(F.avg("lng").alias("lng"), F.avg("lat").alias("lat"))
+    km = geo.haversine_km(F.col("lng"), F.col("lat"), F.col("center_lng"), F.col("center_lat"))
+    found = mean.join(tiles.densest_tile(_seed(t), "k"), "k").select(km.alias("km")).agg(*geo.percentiles(F.col("km")))
+    return found.select(*[F.round(c, 3).alias(c) for c in found.columns])
+
+
 @query()
 def centroids_raw(t: Tables):
     """Representative points of every label; no SQL form, tested by its invariants."""

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from amalgam.functions.keys import name_key, uuid5
 from amalgam.functions.text import normalise_names, with_rank_and_status
 from amalgam.operators import acceptance, dedupe, joins, tree, vote
-from amalgam.sources.releases import LocalStorage, release_version
-from amalgam.sources.writers import write_parquet
+from amalgam.sources.releases import LocalStorage, latest_release, previous_release, release_version
+from amalgam.sources.writers import write_parquet, write_tsv
 from amalgam.session import cut
 
 
@@ -67,9 +67,36 @@ def with_higher_ranks(rows: DataFrame, ranks: tuple[str, ...] = ("PHYLUM", "CLAS
     return tree.backfill(rows.join(named, "id_meso", "left"), [r.lower() for r in ranks])
 
 
-def package(rows: DataFrame, storage: LocalStorage, dates: list[int], sources: dict | None = None) -> str:
-    """Write the release and its manifest below a new version; returns the version."""
+def package(rows: DataFrame, storage: LocalStorage, dates: list[int], sources: dict | None = None, geo: DataFrame | None = None, changes: tuple[str, DataFrame] | None = None, checks: DataFrame | None = None, csv: bool = False) -> str:
+    """Write the release and its manifest below a new version; returns the version.
+
+    The tables are written by Spark, so ``storage`` has to be a folder that
+    driver and executors share. ``geo``, the kind and rows of ``changes``
+    (:func:`amalgam.operators.diff.release_changes`) and the results of
+    ``checks`` get files and manifest entries of their own.
+    """
     version = release_version(dates)
-    write_parquet(rows, str(storage.root / version / f"{version}.parquet"))
-    storage.write_json(f"{version}/manifest.json", {"version": version, "sources": sources or {}})
+    folder = storage.root / version
+    manifest: dict = {"version": version, "sources": sources or {}}
+    write_parquet(rows, str(folder / f"{version}.parquet"))
+    if csv:
+        write_tsv(rows, str(folder / f"{version}.tsv"))
+    if geo is not None:
+        write_parquet(geo, str(folder / f"{version}.geo.parquet"))
+        manifest["geo"] = f"{version}.geo.parquet"
+    if changes is not None:
+        kind, found = changes
+        write_parquet(found, str(folder / f"{version}.diff.parquet"))
+        counts = {r.category: r["count"] for r in found.groupBy("category").count().collect()}  # three kinds
+        manifest["diff"] = {"kind": kind, "file": f"{version}.diff.parquet", "counts": {c: counts.get(c, 0) for c in ("new", "changed", "deleted")}}
+    if checks is not None:
+        manifest["litmus"] = [r.asDict() for r in checks.collect()]  # a row for each check
+    storage.write_json(f"{version}/manifest.json", manifest)
     return version
+
+
+def lookup(storage: LocalStorage, which: str = "latest") -> dict | None:
+    """The manifest of a release: "latest", "previous" or a version; None if there is none."""
+    latest = latest_release(storage)
+    version = latest if which == "latest" else (latest and previous_release(storage, latest)) if which == "previous" else which
+    return storage.read_json(f"{version}/manifest.json") if version and storage.exists(f"{version}/manifest.json") else None

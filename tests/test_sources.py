@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from amalgam.functions import geo
+from amalgam.operators import checks, diff
 from amalgam.plans import profile, release
 from amalgam.sources import archives, enrich, readers, releases, writers
 from amalgam.streaming.upserts import RollingTable, windowed_counts
@@ -123,8 +124,25 @@ def test_fuse_end_to_end(spark, tmp_path):
     assert got["tulipa"].accepted and not got["rosa alba"].accepted and got["rosa alba"].year_consensus is None
     ranked = {r.name_consensus: r.genus for r in release.with_higher_ranks(out).collect()}
     assert ranked["rosa canina"] == "rosa" and ranked["tulipa gesneriana"] == "tulipa"
-    version = release.package(out, releases.LocalStorage(tmp_path), [20240101, 20240202])
+    storage = releases.LocalStorage(tmp_path)
+    version = release.package(out, storage, [20240101, 20240202])
     assert spark.read.parquet(str(tmp_path / version / f"{version}.parquet")).count() == 5
+    checked = checks.run_checks(spark, [checks.Check("rows", lambda s: out, "any", "no rows")])
+    found = diff.release_changes(out, None, "id_meso", ["name_consensus"])
+    later = release.package(out, storage, [20240101, 20250202], geo=out.select("id_meso"), changes=found, checks=checked, csv=True)
+    manifest = release.lookup(storage)
+    assert manifest["version"] == later and manifest["diff"]["kind"] == "first" and manifest["diff"]["counts"] == {"new": 5, "changed": 0, "deleted": 0}
+    assert manifest["litmus"] == [{"name": "rows", "status": "passed", "message": None}] and spark.read.parquet(str(tmp_path / later / manifest["geo"])).count() == 5
+    assert release.lookup(storage, "previous")["version"] == version and release.lookup(storage, version)["version"] == version and release.lookup(storage, "none") is None
+
+
+def test_unchanged_snapshots(spark):
+    a = spark.createDataFrame([(1, "x", None), (2, None, "y")], "id long, p string, q string")
+    b = a.select("q", "id", "p").orderBy(F.desc("id"))
+    assert diff.release_changes(a, b, "id", ["p", "q"])[0] == "unchanged" and diff.release_changes(a, b, "id", ["p", "q"])[1].count() == 0
+    c = spark.createDataFrame([(1, None, "x"), (2, None, "y")], "id long, p string, q string")
+    kind, found = diff.release_changes(a, c, "id", ["p", "q"])
+    assert kind == "diff" and [(r.id, r.category, r.fields) for r in found.collect()] == [("1", "changed", ["p", "q"])]
 
 
 def test_unpack_streams_members(spark, tmp_path):

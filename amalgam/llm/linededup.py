@@ -16,9 +16,8 @@ that touch or overlap in a document are one repeated passage, which goes if it
 has ``LEAST`` words or more; shorter ones are too common to mean a copy and
 stay.
 
-Only hashes are shuffled for all chunks. Hashes that hold over a
-``HOT_SHARE``-th of all chunks, fewer than ``HOT_SHARE`` of them, meet their
-first occurrence by a broadcast of these alone. Texts travel once, to meet the
+Only hashes are shuffled for all chunks; those of hot hashes meet their first
+occurrence by a broadcast of these alone. Texts travel once, to meet the
 list of their chunks in question, and then the repeated chunks alone travel to
 be compared, in parts of at most ``PART`` occurrences of a chunk.
 
@@ -36,14 +35,13 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from amalgam.llm.common import cut, free_name
+from amalgam.llm.common import cut, join_counted
 
 WINDOW = 2
 DIVISOR = 2
 ALONE = 16
 LEAST = 16
-PART = 4096
-HOT_SHARE = 2000
+PART = 512
 WORD = r"\S+"
 
 
@@ -61,7 +59,10 @@ def _turn(value: Column, by: int) -> Column:
 
 
 def chunks(text: Column, window: int = WINDOW, divisor: int = DIVISOR, alone: int = ALONE) -> Column:
-    """array<struct<at, n, hash, before, after>>: first line (from 0), lines and hash of every chunk and cut, lines to look at around it."""
+    """array<struct<at, n, hash, before, after, line_before, line_after>> of every chunk and cut.
+
+    First line (from 0), lines, hash, how many lines to look at around it, and the hashes of the two next to it.
+    """
 
     def measured(line: Column) -> Column:
         return F.struct(F.xxhash64(line).alias("hash"), F.regexp_count(line, F.lit(WORD)).alias("words"))
@@ -97,6 +98,7 @@ def chunks(text: Column, window: int = WINDOW, divisor: int = DIVISOR, alone: in
             F.xxhash64(F.transform(F.slice(lines, at + 1, end + 1 - at), lambda line: line["hash"]), F.lit(kind)).alias("hash"),
             F.greatest(at - F.coalesce(F.get(e, k - 2) + 1, F.lit(0)), F.lit(0)).alias("before"),
             (F.coalesce(F.get(e, k + 1), end) - end).alias("after"),
+            F.get(lines, at - 1)["hash"].alias("line_before"), F.get(lines, end + 1)["hash"].alias("line_after"),
         )
 
     return F.when(text.isNotNull(), _let(F.transform(lines_of(text), measured), cut_up))
@@ -110,6 +112,12 @@ def _equal_run(a: Column, b: Column, at_end: bool) -> Column:
     return F.when(n == 0, 0).when(differ == 0, n).otherwise(differ - 1).cast("int")
 
 
+def _same_row(a: str, b: str) -> Column:
+    """Equal keys and ids; rows are dealt out by the key alone, which holds the id."""
+    left, right = F.col(f"{a}.id"), F.col(f"{b}.id")
+    return (F.col(f"{a}.key") == F.col(f"{b}.key")) & F.coalesce(left == right, left.isNull() & right.isNull())
+
+
 def repeated_passages(docs: DataFrame, **how) -> tuple[DataFrame, DataFrame]:
     """(docs by key, found): the documents, and rows (id, key, repeated) of their repeated passages of any length.
 
@@ -119,16 +127,17 @@ def repeated_passages(docs: DataFrame, **how) -> tuple[DataFrame, DataFrame]:
     keyed = docs.select("id", F.xxhash64("id", "text").alias("key"), "text")
     found = cut(keyed.select("id", "key", F.inline(chunks(F.col("text"), **how))))
     place = F.struct("id", "key", "at")
-    firsts = found.groupBy("hash").agg(F.min(place).alias("first"), F.max(place).alias("last"), F.count(F.lit(1)).alias("times")).filter("first != last")
+    beside = ["line_before", "line_after"]
+    firsts = found.groupBy("hash").agg(F.min(F.struct("id", "key", "at", *beside)).alias("first"), F.max(place).alias("last"), F.count(F.lit(1)).alias("times"))
+    firsts = firsts.filter(F.struct("first.id", "first.key", "first.at") != F.col("last"))
     firsts = cut(firsts.select("hash", "first", "times", F.ceil(F.col("times") / PART).cast("int").alias("parts")))
-    hot = F.col("times") * HOT_SHARE > found.count()
-    few = F.broadcast(firsts.filter(hot))  # fewer than HOT_SHARE rows
-    rest = found.join(few.select("hash"), "hash", "left_anti").join(firsts.filter(~hot), "hash")
-    met = found.join(few, "hash").unionByName(rest)
-    here = met.select("id", "key", F.struct("at", "n", "hash", "before", "after", (place != F.col("first")).alias("later"), "parts").alias("c"))
+    met = join_counted(found, firsts, "hash", "times", found.count())
+    later = place != F.struct("first.id", "first.key", "first.at")
+    # lines around a later occurrence travel only if those next to it have equal hashes in both places
+    around = [F.when(~later | (F.col(line) == F.col("first")[line]), F.col(n)).otherwise(0).alias(n) for n, line in zip(["before", "after"], beside, strict=True)]
+    here = met.select("id", "key", F.struct("at", "n", "hash", *around, later.alias("later"), "parts").alias("c"))
     asked = here.groupBy("id", "key").agg(F.collect_set("c").alias("asked"))
-    same = [F.col("a.id").eqNullSafe(F.col("b.id")), F.col("a.key") == F.col("b.key")]
-    read = keyed.alias("a").join(asked.alias("b"), same).select("a.id", "a.key", lines_of(F.col("a.text")).alias("lines"), F.explode("asked").alias("c"))
+    read = keyed.alias("a").join(asked.alias("b"), _same_row("a", "b")).select("a.id", "a.key", lines_of(F.col("a.text")).alias("lines"), F.explode("asked").alias("c"))
     at, n = F.col("c.at"), F.col("c.n")
     texts = read.select(
         "id", "key", "c.at", "c.n", "c.hash", "c.later", "c.parts",
@@ -144,7 +153,7 @@ def repeated_passages(docs: DataFrame, **how) -> tuple[DataFrame, DataFrame]:
         .select("hash", "part", F.col("id").alias("first_id"), F.col("x").alias("y"))
         .dropDuplicates(["hash", "part"])
     )
-    equal = later.join(first, ["hash", "part"]).filter("x.chunk = y.chunk")
+    equal = later.join(first, ["hash", "part"]).filter(F.when(F.col("x.chunk") == F.col("y.chunk"), True))  # no join key
     back, on = _equal_run(F.col("x.before"), F.col("y.before"), True), _equal_run(F.col("x.after"), F.col("y.after"), False)
     spread = equal.select("id", "key", "first_id", (F.col("at") - back).alias("at"), (F.col("at") + F.col("n") + on).alias("end")).distinct()
     in_text = Window.partitionBy("id", "key").orderBy("at", "end")  # the repeated chunks of one document
@@ -165,8 +174,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     keyed, found = repeated_passages(rows, **how)
-    same = [F.col("a.id").eqNullSafe(F.col("b.id")), F.col("a.key") == F.col("b.key")]
-    both = keyed.alias("a").join(found.alias("b"), same, "left").select("a.id", "a.text", F.coalesce("b.repeated", F.array().cast("array<struct<at:int,n:int,first_id:bigint>>")).alias("repeated"))
+    both = keyed.alias("a").join(found.alias("b"), _same_row("a", "b"), "left").select("a.id", "a.text", F.coalesce("b.repeated", F.array().cast("array<struct<at:int,n:int,first_id:bigint>>")).alias("repeated"))
     return both.select("id", "text", _without(F.col("text"), F.col("repeated"), least).alias("done")).select("id", "text", "done.clean", "done.removed")
 
 
@@ -193,11 +201,13 @@ def _without(text: Column, repeated: Column, least: int) -> Column:
 
 def clean_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST, **how) -> DataFrame:
     """``docs`` with the text of every row cleaned; all columns and rows stay."""
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    _, found = repeated_passages(rows, **how)
-    own, id_, key, repeated = free_name(docs, "own_key", "gone_id", "gone_key", "repeated")
-    found = found.select(F.col("id").alias(id_), F.col("key").alias(key), F.col("repeated").alias(repeated))
-    of_row = F.col(f"`{id_col}`").cast("long")
-    both = docs.withColumn(own, F.xxhash64(of_row, F.col(text_col))).join(found, of_row.eqNullSafe(F.col(id_)) & (F.col(own) == F.col(key)), "left")
-    clean = F.when(F.col(repeated).isNull(), F.col(text_col)).otherwise(_without(F.col(text_col), F.col(repeated), least)["clean"])
-    return both.select(*[(clean if c == text_col else F.col(f"`{c}`")).alias(c) for c in docs.columns])
+    id_, text = F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text")
+    keyed, found = repeated_passages(docs.select(id_, text), **how)
+    both = keyed.alias("a").join(found.alias("b"), _same_row("a", "b"), "left")
+    clean = F.when(F.col("b.repeated").isNull(), F.col("a.text")).otherwise(_without(F.col("a.text"), F.col("b.repeated"), least)["clean"])
+    cleaned = both.select("a.id", "a.key", clean.alias("clean")).dropDuplicates(["key", "id"])
+    # the other columns meet the clean texts; the texts themselves don't travel again
+    others = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns) if c != text_col]
+    rest = docs.select(id_, F.xxhash64(F.col(f"`{id_col}`").cast("long"), F.col(f"`{text_col}`")).alias("key"), *others)
+    joined = rest.alias("a").join(cleaned.alias("b"), _same_row("a", "b"))
+    return joined.select(*[F.col("b.clean" if c == text_col else f"a.c{i}").alias(c) for i, c in enumerate(docs.columns)])

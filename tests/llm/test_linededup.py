@@ -4,7 +4,7 @@ import random
 import pytest
 import xxhash
 
-from amalgam.llm import linededup, queries
+from amalgam.llm import common, linededup, queries
 
 
 def signed(x):
@@ -110,7 +110,7 @@ def test_documents(spark, seed):
 
 def test_hot_chunk_in_parts(spark, monkeypatch):
     monkeypatch.setattr(linededup, "PART", 5)
-    monkeypatch.setattr(linededup, "HOT_SHARE", 2)
+    monkeypatch.setattr(common, "HOT_SHARE", 2)
     passage = " ".join(["word"] * 60)
     rows = [(i, f"start {i}\n{passage}\nend {i}") for i in range(40)]
     got = {r.id: r.clean for r in linededup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}

@@ -312,6 +312,17 @@ def orphan_link(t: Tables):
     return tree.orphans_to_parents(rows, "k", "nm", "kingdom", "rank", [])
 
 
+@query("with s as (select p_name nm, min(p_partkey) k from part where p_size <= 25 group by 1) select p_partkey k, s.k parent from part join s on p_name = s.nm where p_size > 25")
+def orphan_species(t: Tables):
+    """Names of three words go to the species of their first two."""
+    low, k = F.col("p_size") > 25, F.col("p_partkey")
+    rows = t.part.select(
+        k.alias("k"), F.when(low, F.concat_ws(" ", "p_name", F.lower("p_type"))).otherwise(F.col("p_name")).alias("nm"), F.lit("x").alias("kingdom"),
+        F.when(low, "VARIETY").otherwise("SPECIES").alias("rank"), (~low).alias("accepted"), F.when(~low, F.lit(-1)).cast("long").alias("parent"),
+    )
+    return tree.orphans_to_parents(rows, "k", "nm", "kingdom", "rank", [])
+
+
 @query(f"with recursive {_NODES}, d(node, root) as (select id, id from nodes where id in ('r1', 'n2') union select nodes.id, d.root from d join nodes on nodes.parent = d.node) select node, min(root) root from d group by 1")
 def lineage_scope(t: Tables):
     nodes = _nodes(t)

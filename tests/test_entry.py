@@ -24,7 +24,7 @@ def test_library_stands_without_the_training_data_folders(tmp_path):
             shutil.copytree(source, tmp_path / name, ignore=shutil.ignore_patterns("llm", "__pycache__"))
         else:
             shutil.copy(source, tmp_path / name)
-    assert listed(str(tmp_path)) == ["125", "122", "False"]
+    assert listed(str(tmp_path)) == ["126", "123", "False"]
 
 
 def test_entry(spark):

@@ -10,7 +10,8 @@ proven stable: a token sequence is the encoding of its bytes exactly if every
 adjacent pair of it is the encoding of that pair's bytes, so it is enough that
 the two pairs at the window's edges encode to themselves. This needs a
 vocabulary in which every token encodes to itself, which :func:`vocabulary`
-checks. Decoding is concatenation, which is associative.
+checks. Decoding is concatenation, which is associative: runs of ids become
+bytes and neighbouring byte strings are concatenated up a tree likewise.
 
 Defined results: a null text encodes like an empty one, to no tokens; equal
 rows give equal results; an empty table gives no rows; texts of any length are
@@ -20,6 +21,7 @@ encoded whole; other columns are ignored.
 from __future__ import annotations
 
 import base64
+import gc
 import heapq
 from functools import lru_cache
 from itertools import chain
@@ -30,11 +32,15 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from amalgam.llm.common import map_arrow
+from amalgam.llm.common import map_arrow, remembers
 
 LEAF = 6
-#: Matches, leaves and pairs that a Python worker remembers each, and the longest match (in characters) it remembers.
-MEMO, MEMO_CHARS = 300_000, 64
+#: Bytes that a Python worker's memory of matches, leaves and pairs takes each, about, and the longest match (in characters) it remembers.
+MEMO_BYTES, MEMO_CHARS = 96 << 20, 64
+#: Bytes of a remembered entry besides its key's and its ids' (objects, table slots).
+ENTRY = 240
+#: Token ids that become bytes at once in decoding.
+RUN = 256
 _NONE = 1 << 62
 
 
@@ -43,9 +49,9 @@ class Vocabulary:
         self.ranks = ranks
         self.tokens = {v: k for k, v in ranks.items()}
         self.split = regex.compile(pattern).findall
-        self.memo = _Memo(self)
-        self._leaves: dict[bytes, list[int]] = {}
-        self._windows: dict[tuple[int, int], list[int]] = {}
+        self.memo = _Memo(self._match)
+        self._leaves = _Memo(self.merge)
+        self._windows = _Memo(lambda pair: self.merge(self.tokens[pair[0]] + self.tokens[pair[1]]))
 
     def merge(self, data: bytes) -> list[int]:
         """The encoding of ``data`` by direct merging: least rank first, leftmost of equals."""
@@ -90,12 +96,7 @@ class Vocabulary:
 
     def window(self, a: int, b: int) -> list[int]:
         """The encoding of the bytes of two tokens; it is ``[a, b]`` exactly if the pair is stable."""
-        found = self._windows.get((a, b))
-        if found is None:
-            if len(self._windows) > MEMO:
-                self._windows.clear()
-            found = self._windows[a, b] = self.merge(self.tokens[a] + self.tokens[b])
-        return found
+        return self._windows[a, b]
 
     def stable(self, a: int, b: int) -> bool:
         return self.window(a, b) == [a, b]
@@ -114,43 +115,47 @@ class Vocabulary:
             i, j = min(i if ok_left else 2 * i, len(left)), min(j if ok_right else 2 * j, len(right))
             window = self.merge(b"".join(map(self.tokens.__getitem__, left[len(left) - i :] + right[:j])))
 
-    def leaf(self, data: bytes) -> list[int]:
-        found = self._leaves.get(data)
-        if found is None:
-            if len(self._leaves) > MEMO:
-                self._leaves.clear()
-            found = self._leaves[data] = self.merge(data)
-        return found
-
     def piece(self, data: bytes) -> list[int]:
         """The encoding of one match of the pattern."""
         whole = self.ranks.get(data)
         if whole is not None:
             return [whole]
-        parts = [self.leaf(data[i : i + LEAF]) for i in range(0, len(data), LEAF)]
+        parts = [self._leaves[data[i : i + LEAF]] for i in range(0, len(data), LEAF)]
         while len(parts) > 1:
             parts = [self.join(*parts[i : i + 2]) if i + 1 < len(parts) else parts[i] for i in range(0, len(parts), 2)]
         return parts[0]
 
+    def _match(self, match: str) -> tuple[int, ...]:
+        return tuple(self.piece(match.encode()))
+
     def encode(self, text: str) -> list[int]:
-        memo = self.memo
-        if len(memo) > MEMO:
-            memo.clear()
-        return list(chain.from_iterable(map(memo.__getitem__, self.split(text))))
+        return list(chain.from_iterable(map(self.memo.__getitem__, self.split(text))))
 
     def decode(self, ids) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, ids))
+        parts = [b"".join(map(self.tokens.__getitem__, ids[i : i + RUN])) for i in range(0, len(ids), RUN)]
+        while len(parts) > 1:
+            parts = [b"".join(parts[i : i + 2]) for i in range(0, len(parts), 2)]
+        return parts[0] if parts else b""
 
 
 class _Memo(dict):
-    def __init__(self, vocabulary: Vocabulary):
-        self.vocabulary = vocabulary
+    """Remembers results of a function of short keys in about ``MEMO_BYTES``; forgets all when these are full."""
+
+    def __init__(self, of):
+        self.of, self.held = of, 0
+
+    def __missing__(self, key):
+        found = self.of(key)
+        if len(key) <= MEMO_CHARS:
+            self.held += ENTRY + len(key) + 8 * len(found)
+            if self.held > MEMO_BYTES:
+                self.forget()
+            self[key] = found
+        return found
 
-    def __missing__(self, match: str) -> tuple[int, ...]:
-        ids = tuple(self.vocabulary.piece(match.encode()))
-        if len(match) <= MEMO_CHARS:
-            self[match] = ids
-        return ids
+    def forget(self) -> None:
+        self.clear()
+        self.held = 0
 
 
 @lru_cache(maxsize=4)
@@ -164,6 +169,15 @@ def vocabulary(path: str, pattern: str) -> Vocabulary:
     return found
 
 
+def _forget() -> None:
+    if vocabulary.cache_info().currsize:
+        vocabulary.cache_clear()
+        gc.collect()  # a vocabulary and its memories refer to each other
+
+
+remembers(__name__, _forget)
+
+
 def _lists(each: list[list[int]]) -> pa.ListArray:
     at = np.zeros(len(each) + 1, np.int32)
     np.cumsum([len(x) for x in each], out=at[1:])

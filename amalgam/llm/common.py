@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from amalgam.session import cut, table
 
-__all__ = ["cut", "table", "slices", "map_arrow", "all_of", "components", "free_name", "join_counted", "ceil_div", "small"]
+__all__ = ["cut", "table", "slices", "map_arrow", "all_of", "components", "free_name", "join_counted", "remembers", "turn_to", "small_batches", "ceil_div", "small"]
 
 #: Bytes of input that one output batch of a Python stage covers at most (one row may be longer).
 BATCH_BYTES = 4 << 20
@@ -29,20 +29,49 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, limit: int = BATCH_BY
         while at < rows:
             yield batch.slice(at, step)
             at += step
+        del batch
+        pa.default_memory_pool().release_unused()
 
 
-def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], dict | None], schema: str, by: str, finish: Callable[[], object] | None = None) -> DataFrame:
-    """``mapInArrow`` with small batches; ``fn`` turns a batch into columns, ``finish`` ends a task."""
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, whose session hands rows to Python in Arrow batches of ``BATCH_BYTES`` at most from now on.
+
+    The default of 10,000 rows or 64 MB takes several times that in the memory
+    of the executor, which it keeps. A smaller bound that is set stays.
+    """
+    spark, key = df.sparkSession, "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(key)) > BATCH_BYTES:
+        spark.conf.set(key, f"{BATCH_BYTES}b")
+    return df
+
+
+_FORGET: dict[str, Callable[[], None]] = {}
+
+
+def remembers(module: str, forget: Callable[[], None]) -> None:
+    """Say how what a module keeps between the tasks of a Python worker is freed."""
+    _FORGET[module] = forget
+
+
+def turn_to(module: str) -> None:
+    """Free what other modules' tasks left in this Python worker, before a task of ``module``."""
+    for name, forget in _FORGET.items():
+        if name != module:
+            forget()
+    pa.default_memory_pool().release_unused()
+
+
+def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], dict | None], schema: str, by: str) -> DataFrame:
+    """``mapInArrow`` with small batches; ``fn`` turns a batch into columns."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        turn_to(fn.__module__)
         for part in slices(batches, by):
             out = fn(part)
             if out is not None:
                 yield pa.RecordBatch.from_pydict(out)
-        if finish is not None:
-            finish()
 
-    return df.mapInArrow(run, schema)
+    return small_batches(df).mapInArrow(run, schema)
 
 
 def all_of(conditions: Iterable[Column]) -> Column:

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from amalgam.llm.common import map_arrow, slices
+from amalgam.llm.common import map_arrow, remembers, slices, small_batches, turn_to
 
 DIMS = 1024
 UND = "und"
@@ -102,13 +102,21 @@ def _grams() -> _Grams:
     return _Grams()
 
 
+def _forget() -> None:
+    for known in (_letters, _letter, _grams):
+        known.cache_clear()
+
+
+remembers(__name__, _forget)
+
+
 def bundle(grams: np.ndarray) -> np.ndarray:
     """The summed vectors of trigrams, repeats included, as whole numbers in float64."""
     keys, counts = np.unique(grams, return_counts=True)
     out = np.zeros(DIMS)
-    for at in range(0, len(keys), 8192):
-        rows = _grams().vectors(keys[at : at + 8192])
-        out += counts[at : at + 8192].astype(np.float32) @ rows.astype(np.float32)
+    for at in range(0, len(keys), 2048):
+        rows = _grams().vectors(keys[at : at + 2048])
+        out += counts[at : at + 2048].astype(np.float32) @ rows.astype(np.float32)
     return out
 
 
@@ -116,6 +124,7 @@ def train(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text", m
     """Prototype of each language, unit length, from the rows with a language and a text."""
 
     def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        turn_to(__name__)
         sums: dict[str, np.ndarray] = {}
         for part in slices(batches, "text"):
             by: dict[str, list] = {}
@@ -139,7 +148,7 @@ def train(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text", m
 
     rows = labelled.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
     kind = "lang string, vector binary"
-    reduced = rows.mapInArrow(profile, kind).repartition(reducers).mapInArrow(add, kind)
+    reduced = small_batches(rows).mapInArrow(profile, kind).repartition(reducers).mapInArrow(add, kind)
     total: dict[str, np.ndarray] = {}
     for row in reduced.toLocalIterator():  # `reducers` rows a language at most
         total[row.lang] = total.get(row.lang, 0) + np.frombuffer(row.vector, np.int64)
@@ -198,8 +207,9 @@ def keep_identified(
         return cosine + len(grams) ** -0.5 >= least
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        turn_to(__name__)
         for part in slices(batches, text_col):
             kept = [known(x) for x in part.column(at).to_pylist()]
             yield part.filter(pa.array(kept, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return small_batches(docs).mapInArrow(run, docs.schema)

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from amalgam.llm.common import ceil_div, cut, map_arrow, slices
+from amalgam.llm.common import ceil_div, cut, map_arrow, slices, small_batches
 
 K, WINDOW = 24, 41
 _BASE = 0x9E3779B97F4A7C15
@@ -178,7 +178,7 @@ def compare_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         return dict(zip(names, zip(*out.take(), strict=True), strict=True)) if part.num_rows else None
 
     ordered = rows.repartitionByRange(tasks, "id", "hash").sortWithinPartitions("id", "hash", "text").select("id", "text")
-    done = cut(ordered.mapInArrow(walk, f"{_RESULT}, first_text string, last_text string").withColumn("task", F.spark_partition_id()))
+    done = cut(small_batches(ordered).mapInArrow(walk, f"{_RESULT}, first_text string, last_text string").withColumn("task", F.spark_partition_id()))
     borders = done.filter("last_text is not null")
     by_task = Window.orderBy("task")  # one number a task, no texts
     whole = by_task.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)

@@ -5,7 +5,7 @@ import public_tokenizers
 import pytest
 import tiktoken
 
-from amalgam.llm import bpe, queries
+from amalgam.llm import bpe, common, queries
 
 PATH, PATTERN = queries.tokenizer()
 V = bpe.vocabulary(PATH, PATTERN)
@@ -65,3 +65,15 @@ def test_query(spark, tmp_path):
         assert r.ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
         assert r.decoded_sha256 == hashlib.sha256(text.encode()).hexdigest()
     assert public_tokenizers.path("byte_bpe_multi_50k.tiktoken") == PATH
+
+
+def test_memory_is_bounded_and_freed(monkeypatch):
+    monkeypatch.setattr(bpe, "MEMO_BYTES", 20_000)
+    own = bpe.Vocabulary(V.ranks, PATTERN)
+    for text in texts(9, 100):
+        assert own.encode(text) == ORACLE.encode_ordinary(text)
+    for memo in (own.memo, own._leaves, own._windows):
+        assert memo.held <= 20_000 and len(memo) < 100
+    bpe.vocabulary(PATH, PATTERN)
+    common.turn_to("another module")
+    assert bpe.vocabulary.cache_info().currsize == 0

@@ -37,7 +37,7 @@ from itertools import repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from amalgam.llm.common import all_of, components, cut, free_name, join_counted, map_arrow, small
@@ -50,12 +50,16 @@ PAIRWISE = 48
 PIVOTS = 16
 #: Bands and least values in each of the keys under which similar sets meet: of pairs with a similarity of 0.8, three in a million miss all.
 BANDS, ROWS = 24, 4
-#: Classes that share a key up to which all pairs are listed, and leaders that each is compared with beyond.
-CROWD, LEADERS = 48, 4
+#: Classes that share a key up to which all pairs are listed; beyond, each is compared with a leader first.
+CROWD = 8
 #: Different bits beyond which sets are not compared: similarity 0.8 makes 10 on average, with a deviation of 3; unrelated sets 32.
 APART = 24
 #: Pairs of a class that are decided in one task.
 PART = 256
+#: Shingles (8 bytes each) up to which all sets in question are broadcast to be compared; more are shuffled.
+MOST_SHINGLES = 2_000_000
+#: Classes whose numbers (8 bytes each) are broadcast to find their texts; more are found by a shuffle.
+MOST_KEYS = 200_000
 
 
 def shingles(text: bytes | None, words: int = 3) -> np.ndarray:
@@ -166,6 +170,11 @@ def _sets(part: pa.RecordBatch, words: int) -> list[np.ndarray]:
     return [np.unique(shingles(x, words)) for x in part.column(part.schema.get_field_index("bytes")).to_pylist()]
 
 
+def _classes(sets: list[np.ndarray]) -> pa.Array:
+    """A hash of each set."""
+    return pa.array(np.array([xxhash.xxh3_64_intdigest(x.tobytes(), SEED) for x in sets], np.uint64).view(np.int64))
+
+
 def _spread(count: int) -> np.ndarray:
     """Fixed odd numbers."""
     return np.array([xxhash.xxh64_intdigest(b"row %d" % i, SEED) | 1 for i in range(count)], np.uint64)
@@ -181,19 +190,19 @@ def band_keys(hashes: np.ndarray) -> np.ndarray:
 
 
 def profiles(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
-    """(id, key, cls, n, fp, bands) of every row: ``key`` tells its id and text, ``cls`` its set of shingles, of n."""
+    """(id, key, cls, n, fp, bands) of every row: 64-bit hashes of its id and text and of its set of n shingles."""
 
     def batch(part: pa.RecordBatch) -> dict:
         sets = _sets(part, words)
         bands = np.concatenate([band_keys(x) for x in sets]).view(np.int64) if sets else np.zeros(0, np.int64)
         return {
-            "id": part.column(0), "key": part.column(1), "cls": pa.array([xxhash.xxh3_128_hexdigest(x.tobytes()) for x in sets], pa.string()),
+            "id": part.column(0), "key": part.column(1), "cls": _classes(sets),
             "n": pa.array([len(x) for x in sets], pa.int32()), "fp": pa.array(np.array([majority(x) for x in sets], np.uint64).view(np.int64)),
             "bands": pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1, dtype=np.int32) * BANDS), pa.array(bands)),
         }
 
     rows = _keyed(docs, id_col, text_col)
-    return map_arrow(rows, batch, "id long, key long, cls string, n int, fp long, bands array<long>", by="bytes")
+    return map_arrow(rows, batch, "id long, key long, cls long, n int, fp long, bands array<long>", by="bytes")
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -205,63 +214,99 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """(id, key, root): the rows' groups over links of ``similarity`` or more between their sets of shingles.
 
     Equal sets are one class. Classes that share a band key are compared: all
-    pairs where up to ``CROWD`` share it; in a crowded key first each with
-    ``LEADERS`` leaders, then, since most are in one group by now, all that are
-    not with all of the key. So no pair of two groups that meets in a key is
-    left out, and none inside one group need be listed. A pair is discarded by
-    sizes and by more than ``APART`` different bits of the fingerprints; the
-    rest are decided by the exact similarity of their sets.
+    pairs where up to ``CROWD`` share it. In a crowded key each is compared
+    with a leader first, the one with the fewest shingles of its own; most are
+    in one group then, and all that are not are compared with the whole key. So no pair of two groups that meets in a key is left out, and
+    none inside one group need be listed. A pair is discarded by sizes (in
+    crowded keys by what either shares with any other), and by more than
+    ``APART`` different bits of the fingerprints; the rest are decided by the
+    exact similarity of their sets.
     """
     rows = cut(profiles(docs, id_col, text_col, words))
     classes = cut(rows.groupBy("cls").agg(F.min("key").alias("key"), F.first("n").alias("n"), F.first("fp").alias("fp"), F.first("bands").alias("bands")))
-    spread = classes.select("cls", "n", "fp", F.explode("bands").alias("band"))
-    shared = spread.groupBy("band").agg(F.count(F.lit(1)).alias("times")).filter("times > 1")
-    members = cut(join_counted(spread, cut(shared), "band", "times", BANDS * classes.count()))
+    sets_of = _Sets(docs, classes.select("cls", "key"), id_col, text_col, words)
+    spread = classes.select("cls", F.explode("bands").alias("band"))
+    shared = cut(spread.groupBy("band").agg(F.count(F.lit(1)).alias("times")).filter("times > 1"))
+    meeting = join_counted(spread, shared, "band", "times", BANDS * classes.count())
+    members = cut(meeting.join(classes.select("cls", "n", "fp"), "cls").withColumn("k", F.col("n")))
     few, crowded = members.filter(F.col("times") <= CROWD), members.filter(F.col("times") > CROWD)
-    a, b = few.alias("a"), few.alias("b").select(*[F.col(c).alias(f"{c}2") for c in few.columns])
-    near = (F.least("n", "n2") / F.greatest("n", "n2", F.lit(1)) >= similarity) & (F.bit_count(F.col("fp").bitwiseXOR(F.col("fp2"))) <= APART)
-    pairs = a.join(b, (F.col("band") == F.col("band2")) & (F.col("cls") < F.col("cls2")) & near).select(F.col("cls").alias("a"), F.col("cls2").alias("b"))
-    order = Window.partitionBy("band").orderBy(F.xxhash64("cls"), "cls")
-    leaders = cut(crowded.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= LEADERS).select(*[F.col(c).alias(f"{c}2") for c in few.columns]))
-    ordered = [F.least("cls", "cls2").alias("a"), F.greatest("cls", "cls2").alias("b")]
-    led = crowded.join(small(leaders), (F.col("band") == F.col("band2")) & (F.col("cls") != F.col("cls2")) & near).select(*ordered)
-    edges = _verified(docs, classes, pairs.unionAll(led), id_col, text_col, words, similarity)
-    found = components(edges)
-    if leaders.limit(1).count():
-        placed = cut(crowded.join(found, F.col("cls") == F.col("node"), "left").withColumn("group", F.coalesce("root", "cls")).drop("node", "root"))
+    links = _verified(_meeting(few, few, similarity, once=True), sets_of, similarity)
+    if crowded.limit(1).count():
+        crowded = cut(_shared_only(crowded, sets_of).filter(F.col("k") >= F.col("n") * similarity))
+        place = F.struct(-F.col("k") / F.col("n"), F.xxhash64("cls"), "cls")
+        leaders = crowded.groupBy("band").agg(F.min_by(F.struct("cls", "n", "fp", "k"), place).alias("x")).select("band", "x.*")
+        links = cut(links.unionAll(_verified(_meeting(crowded, small(leaders), similarity), sets_of, similarity)).distinct())
+        grouped = crowded.join(components(links), F.col("cls") == F.col("node"), "left").withColumn("group", F.coalesce("root", "cls")).drop("node", "root")
+        placed = cut(grouped.join(classes.select("cls", "bands"), "cls"))
         sizes = placed.groupBy("band", "group").agg(F.count(F.lit(1)).alias("n"))
         main = sizes.groupBy("band").agg(F.max_by("group", F.struct("n", "group")).alias("main"))
-        apart = cut(placed.join(small(cut(main)), "band").filter("group != main").drop("main"))
-        other = apart.select(*[F.col(c).alias(f"{c}2") for c in placed.columns])
-        late = placed.join(small(other), (F.col("band") == F.col("band2")) & (F.col("group") != F.col("group2")) & near).select(*ordered)
-        more = _verified(docs, classes, late, id_col, text_col, words, similarity)
-        if more.limit(1).count():
-            found = components(edges.unionAll(more))
+        apart = cut(placed.join(small(main), "band").filter("group != main").drop("main"))
+        links = links.unionAll(_verified(_meeting(placed, small(apart), similarity, other=True), sets_of, similarity))
+    found = components(links)
     named = rows.select("id", "key", "cls").join(found, F.col("cls") == F.col("node"), "left")
     return named.select("id", "key", F.coalesce("root", "cls").alias("root"))
 
 
-def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, id_col: str, text_col: str, words: int, similarity: float) -> DataFrame:
-    """The pairs (a, b) of classes whose sets have the similarity, a set of shingles read once for each class asked for."""
-    pairs = cut(pairs.distinct())
-    asked = pairs.selectExpr("a as cls").unionAll(pairs.selectExpr("b as cls")).distinct()
-    keys = cut(classes.select("cls", "key").join(asked, "cls").select("key"))
+def _meeting(left: DataFrame, right: DataFrame, similarity: float, other: bool = False, once: bool = False) -> DataFrame:
+    """The pairs (a, b), a < b, of classes that share a band and may be similar; with ``other`` of two groups only."""
+    names = ["band", "cls", "n", "fp", "k"] + (["group", "bands"] if other else [])
+    left, right = left.select(*names), right.select(*[F.col(c).alias(f"{c}2") for c in names])
+    most = F.least("k", "k2")  # of what both can have in common
+    near = (most >= (F.col("n") + F.col("n2") - most) * similarity) & (F.bit_count(F.col("fp").bitwiseXOR(F.col("fp2"))) <= APART)
+    if other:
+        near &= F.col("group") != F.col("group2")
+        near &= F.array_min(F.array_intersect("bands", "bands2")) == F.col("band")  # a pair is listed under one of its keys
+    apart = F.col("cls") < F.col("cls2") if once else F.col("cls") != F.col("cls2")
+    met = left.join(right, (F.col("band") == F.col("band2")) & apart & near)
+    return met.select(F.least("cls", "cls2").alias("a"), F.greatest("cls", "cls2").alias("b"))
 
-    def batch(part: pa.RecordBatch) -> dict:
-        sets = _sets(part, words)
-        at = np.cumsum([0, *map(len, sets)]).astype(np.int32)
-        values = np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)
-        return {"cls": pa.array([xxhash.xxh3_128_hexdigest(x.tobytes()) for x in sets], pa.string()), "hashes": pa.ListArray.from_arrays(pa.array(at), pa.array(values))}
 
-    texts = _keyed(docs, id_col, text_col).join(small(keys), "key", "left_semi").select("key", "bytes")
-    sets = cut(map_arrow(texts, batch, "cls string, hashes array<long>", by="bytes").dropDuplicates(["cls"]))
+def _shared_only(crowded: DataFrame, sets_of: _Sets) -> DataFrame:
+    """``crowded`` with k, how many of a class's shingles other classes in crowded keys have too."""
+    each = sets_of(crowded.select("cls").distinct()).select("cls", F.explode("hashes").alias("shingle"))
+    own = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("times"), F.first("cls").alias("cls")).filter("times = 1")
+    alone = own.groupBy("cls").agg(F.count(F.lit(1)).alias("alone"))
+    return crowded.join(alone, "cls", "left").withColumn("k", F.col("n") - F.coalesce("alone", F.lit(0))).drop("alone")
+
+
+class _Sets:
+    """Reads the sets of shingles of classes from one text each."""
+
+    def __init__(self, docs: DataFrame, classes: DataFrame, id_col: str, text_col: str, words: int):
+        self.texts, self.classes, self.words = _keyed(docs, id_col, text_col), classes, words
+
+    def __call__(self, asked: DataFrame) -> DataFrame:
+        """(cls, hashes) of the classes (cls)."""
+        words = self.words
+
+        def batch(part: pa.RecordBatch) -> dict:
+            sets = _sets(part, words)
+            at = np.cumsum([0, *map(len, sets)]).astype(np.int32)
+            values = np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)
+            return {"cls": _classes(sets), "hashes": pa.ListArray.from_arrays(pa.array(at), pa.array(values))}
+
+        keys = self.classes.join(asked, "cls").select("key")
+        texts = self.texts.join(small(keys, MOST_KEYS), "key", "left_semi").select("key", "bytes")
+        return cut(map_arrow(texts, batch, "cls long, hashes array<long>", by="bytes").dropDuplicates(["cls"]))
+
+
+def _verified(pairs: DataFrame, sets_of: _Sets, similarity: float) -> DataFrame:
+    """The distinct pairs (a, b) of classes whose sets have the similarity."""
+    pairs = cut(pairs.distinct())
+    if not pairs.limit(1).count():
+        return pairs
+    sets = sets_of(pairs.selectExpr("a as cls").unionAll(pairs.selectExpr("b as cls")).distinct())
     # a class in very many pairs is dealt over parts
-    parts = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / PART).cast("int").alias("parts"))
-    first = sets.join(parts, F.col("cls") == F.col("a")).select("a", F.col("hashes").alias("x"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
-    dealt = join_counted(pairs, parts.withColumn("times", F.col("parts") * PART), "a", "times", pairs.count()).select("a", "b", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part"))
-    both = dealt.join(sets.select(F.col("cls").alias("b"), F.col("hashes").alias("y")), "b").join(first, ["a", "part"])
+    counts = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("times")).withColumn("parts", F.ceil(F.col("times") / PART).cast("int"))
     common = F.size(F.array_intersect("x", "y"))
-    return cut(both.filter(common / (F.size("x") + F.size("y") - common) >= similarity).select("a", "b"))
+    similar = common / (F.size("x") + F.size("y") - common) >= similarity
+    if (sets.agg(F.sum(F.size("hashes"))).first()[0] or 0) <= MOST_SHINGLES:
+        left, right = (F.broadcast(sets.select(F.col("cls").alias(c), F.col("hashes").alias(h))) for c, h in (("a", "x"), ("b", "y")))
+        return cut(pairs.join(left, "a").join(right, "b").filter(similar).select("a", "b"))
+    first = sets.join(counts, F.col("cls") == F.col("a")).select("a", F.col("hashes").alias("x"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    dealt = join_counted(pairs, counts, "a", "times", pairs.count()).select("a", "b", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part"))
+    both = dealt.join(sets.select(F.col("cls").alias("b"), F.col("hashes").alias("y")), "b").join(first, ["a", "part"])
+    return cut(both.filter(similar).select("a", "b"))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8) -> DataFrame:

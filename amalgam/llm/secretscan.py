@@ -258,7 +258,7 @@ def train(findings: DataFrame, trees: int = 40, depth: int = 8, most_findings: i
         findings = findings.withColumn("path", F.lit(None).cast("string"))
     total = ["before", "candidate", "after", "path", "label", "coverage"]
     bounded = findings.orderBy(F.xxhash64(*total), *total).limit(most_findings)
-    rows = features(bounded).coalesce(1)
+    rows = cut(features(bounded).coalesce(1))
     assembler = VectorAssembler(inputCols=FEATURES, outputCol="features")
     forest = RandomForestClassifier(featuresCol="features", labelCol="label", numTrees=trees, maxDepth=depth, seed=seed)
     model: RandomForestClassificationModel = forest.fit(assembler.transform(rows))

@@ -20,9 +20,22 @@ each point to its least member gives the same components with rows linear in
 the group.
 
 Sets of five-word shingles that are similar by 0.8 or more have fingerprints 10
-bits apart on average; at such a radius pivots discard nothing and keys of
-equal bits miss most. :func:`keep_one` therefore meets them under min-wise keys
-of the sets, discards by the fingerprints and decides by the sets themselves.
+bits apart on average; at such a radius the distances between fingerprints and
+pivots discard nothing. :func:`keep_one` therefore takes the same steps with
+the metric of the sets, the size of their symmetric difference, whose radius
+follows from the similarity and the two sizes; no step loses a link:
+
+* *Keys.* In any one order of all shingles the first one that two similar sets
+  share is among the first fifth of either (:func:`least_keys`). Those that a
+  sample finds often come last, so few sets meet.
+* *Fingerprints.* A bit whose majority is larger than the radius is the same in
+  all similar sets (:func:`firm_bits`).
+* *Pivot distance table.* The pivots are 128 sets, each of all shingles whose
+  hashes share the highest seven bits (for long sets 1,024, of ten bits). A set's distance to one is a constant less
+  twice the number of shingles in it, plus the set's size; the pivots have no
+  shingle in common, so what two sets' numbers differ by adds up to at most
+  their distance (the triangle inequality in every part).
+* Survivors are decided by the sets themselves.
 
 Defined results: null and empty texts have fingerprint zero, no shingles, and
 link like any other; repeated rows share a fingerprint; a document without
@@ -32,6 +45,9 @@ table gives no rows; other columns are ignored (:func:`keep_one` keeps them).
 
 from __future__ import annotations
 
+import math
+import operator
+from functools import reduce
 from itertools import repeat
 
 import numpy as np
@@ -48,12 +64,18 @@ GROUP = 16
 #: Members of a key up to which its pairs are compared one by one.
 PAIRWISE = 48
 PIVOTS = 16
-#: Bands and least values in each of the keys under which similar sets meet: of pairs with a similarity of 0.8, three in a million miss all.
-BANDS, ROWS = 24, 4
+#: Pivots of the table of distances between sets: hashes that share this many of the highest bits are one pivot.
+PIVOT_BITS = 7
+#: Shingles beyond which a set's row has finer pivots, and their bits.
+LONG, LONG_BITS = 640, 10
+#: Rows, about, in which shingles are counted, and how many of the most frequent ones come last in the order of keys.
+SAMPLE, MOST_COMMON = 10_000, 200_000
+#: Bits of a key by which it is counted first, and words of 64 marks (8 MB) that keep all keys that are met twice; both let others pass, too.
+COUNTED, MARKS = 40, 1 << 20
+#: What rounding may add to a bound.
+SLACK = 1e-9
 #: Classes that share a key up to which all pairs are listed; beyond, each is compared with a leader first.
-CROWD = 8
-#: Different bits beyond which sets are not compared: similarity 0.8 makes 10 on average, with a deviation of 3; unrelated sets 32.
-APART = 24
+CROWD = 64
 #: Pairs of a class that are decided in one task.
 PART = 256
 #: Shingles (8 bytes each) up to which all sets in question are broadcast to be compared; more are shuffled.
@@ -71,13 +93,18 @@ def shingles(text: bytes | None, words: int = 3) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh64_intdigest, found, repeat(SEED)), np.uint64)
 
 
-def majority(hashes: np.ndarray) -> int:
-    """The bits that are set in over half of the hashes, as an unsigned integer; zero if there are none."""
+def _ones(hashes: np.ndarray) -> np.ndarray:
+    """In how many of the hashes each bit is set."""
     ones = np.zeros(BITS, np.int64)
     for at in range(0, len(hashes), 8192):
         part = hashes[at : at + 8192]
         ones += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.uint16)
-    return int(np.packbits(ones * 2 > len(hashes), bitorder="little").view(np.uint64)[0])
+    return ones
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits that are set in over half of the hashes, as an unsigned integer; zero if there are none."""
+    return int(np.packbits(_ones(hashes) * 2 > len(hashes), bitorder="little").view(np.uint64)[0])
 
 
 def simhash(text: bytes | None, words: int = 3) -> int:
@@ -175,34 +202,84 @@ def _classes(sets: list[np.ndarray]) -> pa.Array:
     return pa.array(np.array([xxhash.xxh3_64_intdigest(x.tobytes(), SEED) for x in sets], np.uint64).view(np.int64))
 
 
-def _spread(count: int) -> np.ndarray:
-    """Fixed odd numbers."""
-    return np.array([xxhash.xxh64_intdigest(b"row %d" % i, SEED) | 1 for i in range(count)], np.uint64)
+def least_keys(hashes: np.ndarray, common: np.ndarray, places: np.ndarray, similarity: float) -> np.ndarray:
+    """So many of a set's first shingles that one of them is among those of every set with the similarity.
+
+    Shingles in ``common`` (sorted) come last, by their ``places``; the others
+    by their hashes, which are sorted. Of n shingles a similar set shares
+    n * similarity at least, so all it lacks are fewer than these.
+    """
+    count = len(hashes) - math.ceil(len(hashes) * similarity - SLACK) + 1 if len(hashes) else 0
+    if len(common):
+        at = np.minimum(np.searchsorted(common, hashes), len(common) - 1)
+        found = common[at] == hashes
+        hashes = np.concatenate([hashes[~found], hashes[found][np.argsort(places[at[found]])]])
+    return hashes[:count]
+
+
+def firm_bits(hashes: np.ndarray, similarity: float) -> int:
+    """The bits of :func:`majority` that are the same for every set with the similarity."""
+    ones, most = _ones(hashes), math.floor(len(hashes) * (1 - similarity) / similarity + SLACK)
+    lead = 2 * ones - len(hashes)
+    return int(np.packbits((lead > most) | (lead <= -most), bitorder="little").view(np.uint64)[0]) if len(hashes) else 0
 
 
-def band_keys(hashes: np.ndarray) -> np.ndarray:
-    """A key for each of ``BANDS`` bands: the least values of the set under ``ROWS`` permutations."""
-    odd, least = _spread(BANDS * ROWS), np.full(BANDS * ROWS, 2**64 - 1, np.uint64)
-    for at in range(0, len(hashes), 4096):
-        np.minimum(least, ((hashes[at : at + 4096, None]) * odd).min(axis=0), out=least)
-    keys = (least.reshape(BANDS, ROWS) * _spread(ROWS)).sum(axis=1, dtype=np.uint64)
-    return (keys ^ (keys >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + np.arange(BANDS, dtype=np.uint64)
+def pivot_row(hashes: np.ndarray) -> np.ndarray:
+    """How many shingles a set shares with each of the pivots, as bytes from -128 (none) to 127 (255 or more)."""
+    return (np.minimum(_shared(hashes, LONG_BITS if len(hashes) > LONG else PIVOT_BITS), 255) - 128).astype(np.int8)
 
 
-def profiles(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
-    """(id, key, cls, n, fp, bands) of every row: 64-bit hashes of its id and text and of its set of n shingles."""
+def _shared(hashes: np.ndarray, bits: int) -> np.ndarray:
+    return np.bincount((hashes >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+
+
+def _common(docs: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """The most frequent shingles of a sample of the rows (key, bytes), sorted, and their places from the rarest on.
+
+    They only order keys: no result depends on them.
+    """
 
     def batch(part: pa.RecordBatch) -> dict:
         sets = _sets(part, words)
-        bands = np.concatenate([band_keys(x) for x in sets]).view(np.int64) if sets else np.zeros(0, np.int64)
+        return {"shingle": pa.array((np.concatenate(sets) if sets else np.zeros(0, np.uint64)).view(np.int64))}
+
+    every = max(1, docs.count() // SAMPLE)
+    sample = docs.filter(F.pmod("key", F.lit(every)) == 0).select("bytes")
+    counts = map_arrow(sample, batch, "shingle long", by="bytes").groupBy("shingle").agg(F.count(F.lit(1)).alias("times"))
+    top = counts.filter("times > 1").orderBy(F.desc("times"), "shingle").limit(MOST_COMMON).toArrow()
+    found = top.column("shingle").to_numpy()[::-1].copy().view(np.uint64)
+    places = np.argsort(found)
+    return found[places], places
+
+
+def profiles(docs: DataFrame, id_col: str, text_col: str, words: int, similarity: float) -> DataFrame:
+    """(id, key, cls, n, fp, firm, odd, pivots, bands) of every row: 64-bit hashes of its id and text and of its set of n shingles.
+
+    The rest describes the set: fingerprint, firm bits, row of the pivot table
+    and which of its numbers are odd, and the keys under which it meets others.
+    """
+    rows = _keyed(docs, id_col, text_col)
+    common, places = _common(rows, words)
+
+    def batch(part: pa.RecordBatch) -> dict:
+        sets = _sets(part, words)
+        bands = [least_keys(x, common, places, similarity) for x in sets]
+        ends = np.cumsum([0, *map(len, bands)]).astype(np.int32)
+        table = [pivot_row(x) for x in sets]
+        odd = np.packbits([_shared(x, PIVOT_BITS) & 1 for x in sets], bitorder="little").view(np.int64) if sets else np.zeros(0, np.int64)
         return {
-            "id": part.column(0), "key": part.column(1), "cls": _classes(sets),
-            "n": pa.array([len(x) for x in sets], pa.int32()), "fp": pa.array(np.array([majority(x) for x in sets], np.uint64).view(np.int64)),
-            "bands": pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1, dtype=np.int32) * BANDS), pa.array(bands)),
+            "id": part.column(0), "key": part.column(1), "cls": _classes(sets), "n": pa.array([len(x) for x in sets], pa.int32()),
+            "fp": _signed([majority(x) for x in sets]), "firm": _signed([firm_bits(x, similarity) for x in sets]),
+            "odd": pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1, dtype=np.int32) * ((1 << PIVOT_BITS) // 64)), pa.array(odd)),
+            "pivots": pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, table)]).astype(np.int32)), pa.array(np.concatenate(table) if sets else np.zeros(0, np.int8))),
+            "bands": pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(bands).view(np.int64) if sets else np.zeros(0, np.int64))),
         }
 
-    rows = _keyed(docs, id_col, text_col)
-    return map_arrow(rows, batch, "id long, key long, cls long, n int, fp long, bands array<long>", by="bytes")
+    return map_arrow(rows, batch, "id long, key long, cls long, n int, fp long, firm long, odd array<long>, pivots array<tinyint>, bands array<long>", by="bytes")
+
+
+def _signed(numbers: list[int]) -> pa.Array:
+    return pa.array(np.array(numbers, np.uint64).view(np.int64))
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -213,35 +290,37 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8) -> DataFrame:
     """(id, key, root): the rows' groups over links of ``similarity`` or more between their sets of shingles.
 
-    Equal sets are one class. Classes that share a band key are compared: all
+    Equal sets are one class. Classes that share a key are compared: all
     pairs where up to ``CROWD`` share it. In a crowded key each is compared
-    with a leader first, the one with the fewest shingles of its own; most are
+    with a leader first, any one of them; of many copies most are
     in one group then, and all that are not are compared with the whole key. So no pair of two groups that meets in a key is left out, and
-    none inside one group need be listed. A pair is discarded by sizes (in
-    crowded keys by what either shares with any other), and by more than
-    ``APART`` different bits of the fingerprints; the rest are decided by the
+    none inside one group need be listed. A pair is discarded by sizes, by
+    fingerprints and by the pivot distance table; the rest are decided by the
     exact similarity of their sets.
     """
-    rows = cut(profiles(docs, id_col, text_col, words))
-    classes = cut(rows.groupBy("cls").agg(F.min("key").alias("key"), F.first("n").alias("n"), F.first("fp").alias("fp"), F.first("bands").alias("bands")))
+    if not 0 < similarity <= 1:
+        raise ValueError("a similarity is above 0 and at most 1")
+    rows = cut(profiles(docs, id_col, text_col, words, similarity))
+    classes = cut(rows.groupBy("cls").agg(F.min("key").alias("key"), *[F.first(c).alias(c) for c in ("n", "fp", "firm", "odd", "pivots")]))
     sets_of = _Sets(docs, classes.select("cls", "key"), id_col, text_col, words)
-    spread = classes.select("cls", F.explode("bands").alias("band"))
-    shared = cut(spread.groupBy("band").agg(F.count(F.lit(1)).alias("times")).filter("times > 1"))
-    meeting = join_counted(spread, shared, "band", "times", BANDS * classes.count())
-    members = cut(meeting.join(classes.select("cls", "n", "fp"), "cls").withColumn("k", F.col("n")))
-    few, crowded = members.filter(F.col("times") <= CROWD), members.filter(F.col("times") > CROWD)
-    links = _verified(_meeting(few, few, similarity, once=True), sets_of, similarity)
+    met = cut(_met(rows.select("cls", "bands")))
+    shared = met.groupBy("band").agg(F.count(F.lit(1)).alias("times")).filter("times > 1")
+    meeting = cut(join_counted(met, cut(shared), "band", "times", met.count()))
+    few = meeting.filter(F.col("times") <= CROWD).drop("times").join(classes.select("cls", "n", "odd"), "cls")
+    links = _verified(_discarded(_meeting(few, few, similarity, once=True), classes, similarity), sets_of, similarity)
+    crowded = meeting.filter(F.col("times") > CROWD)
     if crowded.limit(1).count():
-        crowded = cut(_shared_only(crowded, sets_of).filter(F.col("k") >= F.col("n") * similarity))
-        place = F.struct(-F.col("k") / F.col("n"), F.xxhash64("cls"), "cls")
-        leaders = crowded.groupBy("band").agg(F.min_by(F.struct("cls", "n", "fp", "k"), place).alias("x")).select("band", "x.*")
-        links = cut(links.unionAll(_verified(_meeting(crowded, small(leaders), similarity), sets_of, similarity)).distinct())
+        bands = crowded.groupBy("cls").agg(F.collect_list("band").alias("bands"))
+        crowded = cut(crowded.drop("times").join(classes.select("cls", "n", "odd"), "cls"))
+        leaders = crowded.groupBy("band").agg(F.min_by(F.struct("cls", "n", "odd"), F.struct(F.xxhash64("cls", "band"), "cls")).alias("x"))
+        led = _discarded(_meeting(crowded, small(leaders.select("band", "x.*")), similarity), classes, similarity)
+        links = cut(links.unionAll(_verified(led, sets_of, similarity)).distinct())
         grouped = crowded.join(components(links), F.col("cls") == F.col("node"), "left").withColumn("group", F.coalesce("root", "cls")).drop("node", "root")
-        placed = cut(grouped.join(classes.select("cls", "bands"), "cls"))
+        placed = cut(grouped.join(bands, "cls"))
         sizes = placed.groupBy("band", "group").agg(F.count(F.lit(1)).alias("n"))
         main = sizes.groupBy("band").agg(F.max_by("group", F.struct("n", "group")).alias("main"))
         apart = cut(placed.join(small(main), "band").filter("group != main").drop("main"))
-        links = links.unionAll(_verified(_meeting(placed, small(apart), similarity, other=True), sets_of, similarity))
+        links = links.unionAll(_verified(_discarded(_meeting(placed, small(apart), similarity, other=True), classes, similarity), sets_of, similarity))
     found = components(links)
     named = rows.select("id", "key", "cls").join(found, F.col("cls") == F.col("node"), "left")
     return named.select("id", "key", F.coalesce("root", "cls").alias("root"))
@@ -249,10 +328,11 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 def _meeting(left: DataFrame, right: DataFrame, similarity: float, other: bool = False, once: bool = False) -> DataFrame:
     """The pairs (a, b), a < b, of classes that share a band and may be similar; with ``other`` of two groups only."""
-    names = ["band", "cls", "n", "fp", "k"] + (["group", "bands"] if other else [])
+    names = ["band", "cls", "n", "odd"] + (["group", "bands"] if other else [])
     left, right = left.select(*names), right.select(*[F.col(c).alias(f"{c}2") for c in names])
-    most = F.least("k", "k2")  # of what both can have in common
-    near = (most >= (F.col("n") + F.col("n2") - most) * similarity) & (F.bit_count(F.col("fp").bitwiseXOR(F.col("fp2"))) <= APART)
+    near = F.least("n", "n2") >= F.greatest("n", "n2") * similarity - SLACK
+    unlike = [F.bit_count(F.col("odd")[j].bitwiseXOR(F.col("odd2")[j])) for j in range((1 << PIVOT_BITS) // 64)]
+    near &= reduce(operator.add, unlike) <= _radius(similarity)  # an odd and an even number differ by one at least
     if other:
         near &= F.col("group") != F.col("group2")
         near &= F.array_min(F.array_intersect("bands", "bands2")) == F.col("band")  # a pair is listed under one of its keys
@@ -261,12 +341,46 @@ def _meeting(left: DataFrame, right: DataFrame, similarity: float, other: bool =
     return met.select(F.least("cls", "cls2").alias("a"), F.greatest("cls", "cls2").alias("b"))
 
 
-def _shared_only(crowded: DataFrame, sets_of: _Sets) -> DataFrame:
-    """``crowded`` with k, how many of a class's shingles other classes in crowded keys have too."""
-    each = sets_of(crowded.select("cls").distinct()).select("cls", F.explode("hashes").alias("shingle"))
-    own = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("times"), F.first("cls").alias("cls")).filter("times = 1")
-    alone = own.groupBy("cls").agg(F.count(F.lit(1)).alias("alone"))
-    return crowded.join(alone, "cls", "left").withColumn("k", F.col("n") - F.coalesce("alone", F.lit(0))).drop("alone")
+def _within(similarity: float) -> Column:
+    """Whether the rows ``pivots`` and ``pivots2`` of the pivot table, if they are of the same pivots, allow the similarity of sets of ``n`` and ``n2`` shingles."""
+    steps = F.zip_with("pivots", "pivots2", lambda x, y: F.abs(x.cast("int") - y.cast("int")))
+    return (F.size("pivots") != F.size("pivots2")) | (F.aggregate(steps, F.lit(0), lambda x, y: x + y) <= _radius(similarity))
+
+
+def _radius(similarity: float) -> Column:
+    return (F.col("n") + F.col("n2")) * ((1 - similarity) / (1 + similarity)) + SLACK
+
+
+def _discarded(pairs: DataFrame, classes: DataFrame, similarity: float) -> DataFrame:
+    """The distinct ones of the pairs (a, b) that neither fingerprints nor the pivot distance table discard."""
+    table = classes.select("cls", "n", "fp", "firm", "pivots")
+    other = table.select(F.col("cls").alias("b"), *[F.col(c).alias(f"{c}2") for c in table.columns[1:]])
+    met = cut(pairs.distinct()).join(table.withColumnRenamed("cls", "a"), "a").join(other, "b")
+    agree = F.col("fp").bitwiseXOR(F.col("fp2")).bitwiseAND(F.col("firm").bitwiseOR(F.col("firm2"))) == 0
+    return met.filter(agree).filter(_within(similarity)).select("a", "b")
+
+
+def _met(rows: DataFrame) -> DataFrame:
+    """The distinct (band, cls) of ``rows`` (cls, bands), less most of the keys that only one row has.
+
+    Rows are not shuffled to find these: the keys alone are counted, those met
+    twice are marked in a table of bits, and what is not marked stays behind.
+    """
+    counts = rows.select(F.explode("bands").alias("band")).select(F.col("band").bitwiseAND(F.lit((1 << COUNTED) - 1)).alias("part"))
+    twice = counts.groupBy("part").agg(F.count(F.lit(1)).alias("times")).filter("times > 1")
+    word = F.shiftright("part", 6).bitwiseAND(F.lit(MARKS - 1))
+    found = twice.groupBy(word.alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(part & 63 as int)))").alias("bits")).toArrow()
+    marks = np.zeros(MARKS, np.uint64)
+    marks[found.column("word").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
+
+    def batch(part: pa.RecordBatch) -> dict:
+        lists = part.column(1)
+        bands = lists.flatten().to_numpy().view(np.uint64)
+        own = np.repeat(part.column(0).to_numpy(), lists.value_lengths().to_numpy())
+        seen = (marks[(bands >> np.uint64(6)) & np.uint64(MARKS - 1)] >> (bands & np.uint64(63))) & np.uint64(1) == 1
+        return {"band": pa.array(bands[seen].view(np.int64)), "cls": pa.array(own[seen])}
+
+    return map_arrow(rows, batch, "band long, cls long", by="bands").distinct()
 
 
 class _Sets:

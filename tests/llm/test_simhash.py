@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import xxhash
 from pyspark.sql import functions as F
 
@@ -135,6 +136,45 @@ def test_keep_one_of_similar_texts(spark, monkeypatch):
         assert {(r.doc_id, r.text) for r in got} == want and len(got) == len(want)
 
 
+def test_keep_one_loses_no_link_of_short_texts(spark):
+    """Pairs of similarity 0.8 (five shingles, four of them) whose 24 min-wise keys all differ, or whose fingerprints do in over 24 bits."""
+    longer = [" ".join([f"w{k}", *(f"x{k + i}" for i in range(8))]) for k in (374903, 888027, 3371, 7352, 9493)]
+    rows = [(2 * i + j, t if not j else t.rsplit(" ", 1)[0]) for i, t in enumerate(longer) for j in (0, 1)]
+    want = set(kept_by_hand(rows))
+    assert len(want) == len(longer)
+    kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.text) for r in kept} == want and len(kept) == len(want)
+
+
+def test_pivots_keys_and_bits_discard_no_similar_sets():
+    """Of random sets: similar ones pass every step, and the pivot distance table discards nearly all others."""
+    rng = np.random.default_rng(4)
+
+    def table(a, b):
+        return np.abs(simhash.pivot_row(a).astype(int) - simhash.pivot_row(b)).sum()
+
+    passed = 0
+    for turn in range(600):
+        n = int(rng.integers(1, 400)) if turn % 50 else 20_000
+        a = np.unique(rng.integers(0, 2**64, n, np.uint64))
+        less, more = (int(rng.integers(0, n // 8 + 2)) for _ in range(2))
+        b = np.unique(np.concatenate([rng.permutation(a)[min(less, len(a) - 1) :], rng.integers(0, 2**64, more, np.uint64)]))
+        common = np.sort(rng.permutation(np.union1d(a, b))[: n // 3])
+        places = rng.permutation(len(common))
+        both = len(np.intersect1d(a, b))
+        assert table(a, b) <= len(a) + len(b) - 2 * both
+        if both / (len(a) + len(b) - both) >= 0.8:
+            passed += 1
+            assert np.intersect1d(*(simhash.least_keys(x, common, places, 0.8) for x in (a, b))).size
+            firm = simhash.firm_bits(a, 0.8) | simhash.firm_bits(b, 0.8)
+            assert not (simhash.majority(a) ^ simhash.majority(b)) & firm
+    assert passed > 100
+    for n in (5, 20, 100, 400):
+        others = [np.unique(rng.integers(0, 2**64, n, np.uint64)) for _ in range(60)]
+        left = sum(table(a, b) <= (len(a) + len(b)) / 9 for i, a in enumerate(others) for b in others[:i])
+        assert left <= 5, n
+
+
 def test_empty(spark):
     assert simhash.keep_one(spark.createDataFrame([], "doc_id long, text string")).count() == 0
     assert simhash.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0

@@ -25,9 +25,13 @@ pivots discard nothing. :func:`keep_one` therefore takes the same steps with
 the metric of the sets, the size of their symmetric difference, whose radius
 follows from the similarity and the two sizes; no step loses a link:
 
-* *Keys.* In any one order of all shingles the first one that two similar sets
-  share is among the first fifth of either (:func:`least_keys`). Those that a
-  sample finds often come last, so few sets meet.
+* *Keys.* The shingles are dealt over parts by their hashes. Two similar sets
+  differ in so few shingles that they have whole parts in common, and in any
+  one order of all parts the first of these is among the first few of either
+  (:func:`least_keys`). Parts of the most shingles come first, where those
+  that a sample finds often count less, so that a key is a combination of
+  several shingles: single ones are met again by chance, the more often the
+  more texts there are.
 * *Fingerprints.* A bit whose majority is larger than the radius is the same in
   all similar sets (:func:`firm_bits`).
 * *Pivot distance table.* The pivots are 128 sets, each of all shingles whose
@@ -66,12 +70,18 @@ PAIRWISE = 48
 PIVOTS = 16
 #: Pivots of the table of distances between sets: hashes that share this many of the highest bits are one pivot.
 PIVOT_BITS = 7
+#: Bits of the pivots whose odd numbers are compared where sets meet.
+ODD_BITS = 9
 #: Shingles beyond which a set's row has finer pivots, and their bits.
 LONG, LONG_BITS = 640, 10
 #: Rows, about, in which shingles are counted, and how many of the most frequent ones come last in the order of keys.
 SAMPLE, MOST_COMMON = 10_000, 200_000
-#: Bits of a key by which it is counted first, and words of 64 marks (8 MB) that keep all keys that are met twice; both let others pass, too.
-COUNTED, MARKS = 40, 1 << 20
+#: Shingles from which a set is dealt over parts, and how many times as many parts as two sets can differ in; smaller sets have pairs of shingles as keys.
+DEALT, SPARE = 32, 1.2
+#: Words of 64 marks, at least (8 kB) and at most (32 MB), that keep all keys that are met twice; others pass, too, one in ``APART`` while the most suffices.
+LEAST_MARKS, MOST_MARKS, APART = 1 << 10, 1 << 22, 64
+#: What a shingle adds to the weight of its part: one that the sample does not find often, and at most one that it does.
+RARE, OFTEN = 16, 12
 #: What rounding may add to a bound.
 SLACK = 1e-9
 #: Classes that share a key up to which all pairs are listed; beyond, each is compared with a leader first.
@@ -203,18 +213,66 @@ def _classes(sets: list[np.ndarray]) -> pa.Array:
 
 
 def least_keys(hashes: np.ndarray, common: np.ndarray, places: np.ndarray, similarity: float) -> np.ndarray:
-    """So many of a set's first shingles that one of them is among those of every set with the similarity.
+    """Keys of a set of shingles, which are sorted: every two sets with the similarity have one in common.
 
-    Shingles in ``common`` (sorted) come last, by their ``places``; the others
-    by their hashes, which are sorted. Of n shingles a similar set shares
-    n * similarity at least, so all it lacks are fewer than these.
+    Sizes are in ranges that double. A set has keys in its own range and in
+    those above that a similar set can be in; two sets meet in that of the larger.
     """
-    count = len(hashes) - math.ceil(len(hashes) * similarity - SLACK) + 1 if len(hashes) else 0
+    if not len(hashes):
+        return hashes
+    rare, weights = np.ones(len(hashes), bool), np.full(len(hashes), RARE)
     if len(common):
         at = np.minimum(np.searchsorted(common, hashes), len(common) - 1)
-        found = common[at] == hashes
-        hashes = np.concatenate([hashes[~found], hashes[found][np.argsort(places[at[found]])]])
-    return hashes[:count]
+        rare = common[at] != hashes
+        weights = np.where(rare, RARE, np.ceil(np.log2(len(common) - places[at] + 1) * (OFTEN / np.log2(len(common) + 1))).astype(np.int64))
+    most, keys = math.floor(len(hashes) / similarity + SLACK), []
+    if len(hashes) < DEALT:
+        often = hashes[~rare]
+        ordered = np.concatenate([hashes[rare], often[np.argsort(places[at[~rare]])]]) if len(often) else hashes
+        keys.append(_pair_keys(ordered, similarity))
+    low = DEALT
+    while low <= most:
+        if len(hashes) < 2 * low:
+            keys.append(_part_keys(hashes, weights, low, similarity))
+        low *= 2
+    return np.concatenate(keys)
+
+
+def _mixed(numbers: np.ndarray) -> np.ndarray:
+    numbers = (numbers ^ (numbers >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return numbers ^ (numbers >> np.uint64(32))
+
+
+def _pair_keys(ordered: np.ndarray, similarity: float) -> np.ndarray:
+    """Pairs of a set's first shingles, in an order of all.
+
+    Of n shingles a similar set lacks n - n * similarity at most; with two more
+    than these the first two that both have are among them. Sets that may have
+    only one in common have single ones as keys, too.
+    """
+    least = math.ceil(len(ordered) * similarity - SLACK)
+    first = ordered[: len(ordered) - least + 2]
+    i, j = np.triu_indices(len(first), 1)
+    pairs = _mixed(first[i] + first[j])
+    return np.concatenate([pairs, first]) if least < 2 else pairs
+
+
+def _part_keys(hashes: np.ndarray, weights: np.ndarray, low: int, similarity: float) -> np.ndarray:
+    """The first of a set's parts among those for sets of up to twice ``low`` shingles.
+
+    A set of n differs from a similar one in n * (1 - similarity) / similarity
+    shingles at most, and so in as many parts; of one more the two share one.
+    """
+    ratio = (1 - similarity) / similarity
+    parts = math.ceil(SPARE * 2 * low * ratio) + 1
+    edges = np.searchsorted(hashes, (np.arange(parts + 1, dtype=np.float64) * (2.0**32 / parts)).astype(np.uint64) << np.uint64(32))
+    edges[-1] = len(hashes)
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes, dtype=np.uint64)])
+    heavy = np.concatenate([np.zeros(1, np.int64), np.cumsum(weights)])
+    keys = _mixed(sums[edges[1:]] - sums[edges[:-1]] + np.arange(low, low + parts, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    lacks = 0xFFFF - np.minimum(heavy[edges[1:]] - heavy[edges[:-1]], 0xFFFF)
+    order = (lacks.astype(np.uint64) << np.uint64(48)) | (keys >> np.uint64(16))
+    return keys[np.argsort(order, kind="stable")[: math.floor(len(hashes) * ratio + SLACK) + 1]]
 
 
 def firm_bits(hashes: np.ndarray, similarity: float) -> int:
@@ -266,11 +324,11 @@ def profiles(docs: DataFrame, id_col: str, text_col: str, words: int, similarity
         bands = [least_keys(x, common, places, similarity) for x in sets]
         ends = np.cumsum([0, *map(len, bands)]).astype(np.int32)
         table = [pivot_row(x) for x in sets]
-        odd = np.packbits([_shared(x, PIVOT_BITS) & 1 for x in sets], bitorder="little").view(np.int64) if sets else np.zeros(0, np.int64)
+        odd = np.packbits([_shared(x, ODD_BITS) & 1 for x in sets], bitorder="little").view(np.int64) if sets else np.zeros(0, np.int64)
         return {
             "id": part.column(0), "key": part.column(1), "cls": _classes(sets), "n": pa.array([len(x) for x in sets], pa.int32()),
             "fp": _signed([majority(x) for x in sets]), "firm": _signed([firm_bits(x, similarity) for x in sets]),
-            "odd": pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1, dtype=np.int32) * ((1 << PIVOT_BITS) // 64)), pa.array(odd)),
+            "odd": pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1, dtype=np.int32) * ((1 << ODD_BITS) // 64)), pa.array(odd)),
             "pivots": pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, table)]).astype(np.int32)), pa.array(np.concatenate(table) if sets else np.zeros(0, np.int8))),
             "bands": pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(bands).view(np.int64) if sets else np.zeros(0, np.int64))),
         }
@@ -331,7 +389,7 @@ def _meeting(left: DataFrame, right: DataFrame, similarity: float, other: bool =
     names = ["band", "cls", "n", "odd"] + (["group", "bands"] if other else [])
     left, right = left.select(*names), right.select(*[F.col(c).alias(f"{c}2") for c in names])
     near = F.least("n", "n2") >= F.greatest("n", "n2") * similarity - SLACK
-    unlike = [F.bit_count(F.col("odd")[j].bitwiseXOR(F.col("odd2")[j])) for j in range((1 << PIVOT_BITS) // 64)]
+    unlike = [F.bit_count(F.col("odd")[j].bitwiseXOR(F.col("odd2")[j])) for j in range((1 << ODD_BITS) // 64)]
     near &= reduce(operator.add, unlike) <= _radius(similarity)  # an odd and an even number differ by one at least
     if other:
         near &= F.col("group") != F.col("group2")
@@ -365,19 +423,22 @@ def _met(rows: DataFrame) -> DataFrame:
 
     Rows are not shuffled to find these: the keys alone are counted, those met
     twice are marked in a table of bits, and what is not marked stays behind.
+    The whole key is counted, and the table grows with their number.
     """
-    counts = rows.select(F.explode("bands").alias("band")).select(F.col("band").bitwiseAND(F.lit((1 << COUNTED) - 1)).alias("part"))
-    twice = counts.groupBy("part").agg(F.count(F.lit(1)).alias("times")).filter("times > 1")
-    word = F.shiftright("part", 6).bitwiseAND(F.lit(MARKS - 1))
-    found = twice.groupBy(word.alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(part & 63 as int)))").alias("bits")).toArrow()
-    marks = np.zeros(MARKS, np.uint64)
+    counts = rows.select(F.explode("bands").alias("band")).groupBy("band").agg(F.count(F.lit(1)).alias("times"))
+    twice = cut(counts.filter("times > 1").select("band"))
+    count = 1 << max(0, math.ceil(twice.count() * APART / 64) - 1).bit_length()
+    count = min(max(count, LEAST_MARKS), MOST_MARKS)
+    word = F.shiftright("band", 6).bitwiseAND(F.lit(count - 1))
+    found = twice.groupBy(word.alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(band & 63 as int)))").alias("bits")).toArrow()
+    marks = np.zeros(count, np.uint64)
     marks[found.column("word").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
 
     def batch(part: pa.RecordBatch) -> dict:
         lists = part.column(1)
         bands = lists.flatten().to_numpy().view(np.uint64)
         own = np.repeat(part.column(0).to_numpy(), lists.value_lengths().to_numpy())
-        seen = (marks[(bands >> np.uint64(6)) & np.uint64(MARKS - 1)] >> (bands & np.uint64(63))) & np.uint64(1) == 1
+        seen = (marks[(bands >> np.uint64(6)) & np.uint64(count - 1)] >> (bands & np.uint64(63))) & np.uint64(1) == 1
         return {"band": pa.array(bands[seen].view(np.int64)), "cls": pa.array(own[seen])}
 
     return map_arrow(rows, batch, "band long, cls long", by="bands").distinct()

@@ -175,6 +175,22 @@ def test_pivots_keys_and_bits_discard_no_similar_sets():
         assert left <= 5, n
 
 
+def test_single_shingles_in_common_are_no_keys():
+    """Sets that share a tenth of their shingles with others hardly ever meet, however many there are; similar ones always do."""
+    rng = np.random.default_rng(8)
+    pool, none = rng.integers(0, 2**64, 3000, np.uint64), np.zeros(0, np.uint64)
+    sets = [np.unique(np.concatenate([rng.choice(pool, n // 10, replace=False), rng.integers(0, 2**64, n - n // 10, np.uint64)])) for n in rng.integers(30, 600, 500)]
+    keys = [np.unique(simhash.least_keys(x, none, none.astype(int), 0.8)) for x in sets]
+    times = np.unique(np.concatenate(keys), return_counts=True)[1]
+    assert (times * (times - 1) // 2).sum() < 50
+    for n in [*range(1, 70), 127, 128, 129, 1023, 1024]:
+        a = np.unique(rng.integers(0, 2**64, n, np.uint64))
+        b = np.unique(np.concatenate([a, rng.integers(0, 2**64, n // 4, np.uint64)]))
+        c = a[: -(-4 * n // 5)]
+        for x, y in ((a, b), (a, c)):
+            assert np.intersect1d(*(simhash.least_keys(z, none, none.astype(int), 0.8) for z in (x, y))).size, n
+
+
 def test_empty(spark):
     assert simhash.keep_one(spark.createDataFrame([], "doc_id long, text string")).count() == 0
     assert simhash.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0

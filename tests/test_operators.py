@@ -113,6 +113,37 @@ def test_clusters_equal_a_plain_loop():
         assert vernacular.cluster_names(names, within) == plain(names, within)
 
 
+def test_clusters_compare_few_names(monkeypatch):
+    """Names about the length at which the index changes cluster as by comparing all, with few comparisons."""
+    rng, calls, plain = random.Random(5), [0], vernacular.distance
+
+    def counted(a, b, limit):
+        calls[0] += 1
+        return plain(a, b, limit)
+
+    def by_all(names, within=3):
+        left, usual = list(dict.fromkeys(names)), {}
+        while left:
+            near = [n for n in left if n == left[0] or plain(left[0], n, within) < within]
+            usual |= dict.fromkeys(near, max(near, key=names.count))
+            left = [n for n in left if n not in usual]
+        return [usual[n] for n in names]
+
+    monkeypatch.setattr(vernacular, "distance", counted)
+    names = ["".join(rng.choice(["th", "er", "on", "an", "re", "he", "in", "ed", "nd"]) for _ in range(rng.randint(1, 9))) for _ in range(900)]
+    names += [n[:3] + n[4:] + "x" for n in names[:300]]
+    assert vernacular.cluster_names(names) == by_all(names)
+    assert calls[0] < 3_000
+
+
+def test_lists_are_clustered_in_many_tasks(spark):
+    names = spark.range(400).select((F.col("id") % 40).alias("k"), F.lit("en").alias("lang"), F.concat(F.lit("name"), "id").alias("name"), F.col("id").alias("o"))
+    out = vernacular.reduce_names(names, "k", "o")
+    assert out.count() == 40
+    clustering = out._jdf.queryExecution().executedPlan().toString().split("_clustered", 1)[1]
+    assert "hashpartitioning(k#" in clustering and f", {4 * spark.sparkContext.defaultParallelism}), REPARTITION_BY_NUM" in clustering
+
+
 def test_lev_cluster_takes_every_line_and_any_white_space(spark, tmp_path):
     rows = [(1, 0, "harbour\nlantern\tmeadow"), (1, 1, "Fenster  Garten\n\nBirnbaum"), (2, 0, None)]
     spark.createDataFrame(rows, "conv_id long, turn int, text string").write.parquet(str(tmp_path / "conversations.parquet"))
